@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wrackline.llm import bpe, pack
+from wrackline.llm import bpe, lines, pack
 from wrackline.session import table
 
 
@@ -27,6 +27,27 @@ def p9_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per.join(F.broadcast(sizes), "pack_id").withColumn("least_containers", F.ceil(F.col("tokens") / F.col("capacity"))).withColumn("fill", F.col("tokens") / (F.col("containers") * F.col("capacity")))
 
 
-QUERIES = {"p8_ids": p8_ids, "p9_pack": p9_pack, "p9_summary": p9_summary}
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines on at least 5 urls of their domain."""
+    return lines.repeated_lines(table(spark, sf_dir, "mementos"), "id_long", "domain", "url", "content")
 
-SQL: dict[str, str] = {}
+
+def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every memento's content without such lines."""
+    pages = table(spark, sf_dir, "mementos").select("id_long", "content")
+    return lines.without_lines(pages, "id_long", "content", p4_found(spark, sf_dir)).select("id_long", "content_clean")
+
+
+_P4_LINES = """
+    WITH l AS (
+        SELECT id_long, domain, url, unnest(string_split(content, chr(10))) AS line,
+               unnest(range(1, len(string_split(content, chr(10))) + 1)) AS line_no
+        FROM mementos WHERE domain IS NOT NULL AND url IS NOT NULL AND content IS NOT NULL),
+    f AS (SELECT id_long, domain, url, CAST(line_no AS INT) AS line_no, trim(regexp_replace(lower(line), '[^\\p{L}\\p{M}]+', ' ', 'g')) AS form FROM l),
+    k AS (SELECT domain, form FROM f WHERE form <> '' GROUP BY domain, form HAVING count(DISTINCT url) >= 5)"""
+
+QUERIES = {"p8_ids": p8_ids, "p9_pack": p9_pack, "p9_summary": p9_summary, "p4_found": p4_found, "p4_clean": p4_clean}
+
+SQL: dict[str, str] = {
+    "p4_found": _P4_LINES + " SELECT id_long, line_no FROM f JOIN k USING (domain, form)",
+}
