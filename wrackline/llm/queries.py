@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wrackline.llm import bpe, garbled, lines, pack, reading
+from wrackline.llm import boilerplate, bpe, garbled, lines, pack, reading
 from wrackline.session import table
 
 
@@ -38,6 +38,18 @@ def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.without_lines(pages, "id_long", "content", p4_found(spark, sf_dir)).select("id_long", "content_clean")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of content that are not part of the page's main body."""
+    pages = table(spark, sf_dir, "mementos")
+    return boilerplate.boilerplate_lines(pages, "id_long", boilerplate.wrapper_for(pages, garbled.learn(pages, ["content", "title"])))
+
+
+def p2_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main body of every memento's content."""
+    pages = table(spark, sf_dir, "mementos").select("id_long", "content")
+    return lines.without_lines(pages, "id_long", "content", p2_found(spark, sf_dir), "body").select("id_long", "body")
+
+
 def p3_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Garbled values of content and title with their restored text."""
     return garbled.restore(table(spark, sf_dir, "mementos"), "id_long", ["content", "title"])
@@ -71,7 +83,7 @@ _P4_LINES = """
     f AS (SELECT id_long, domain, url, CAST(line_no AS INT) AS line_no, trim(regexp_replace(lower(line), '[^\\p{L}\\p{M}]+', ' ', 'g')) AS form FROM l),
     k AS (SELECT domain, form FROM f WHERE form <> '' GROUP BY domain, form HAVING count(DISTINCT url) >= 5)"""
 
-QUERIES = {"p8_ids": p8_ids, "p9_pack": p9_pack, "p9_summary": p9_summary, "p4_found": p4_found, "p4_clean": p4_clean, "p3_found": p3_found, "p3_restored": p3_restored, "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile}
+QUERIES = {"p8_ids": p8_ids, "p9_pack": p9_pack, "p9_summary": p9_summary, "p4_found": p4_found, "p4_clean": p4_clean, "p2_found": p2_found, "p2_body": p2_body, "p3_found": p3_found, "p3_restored": p3_restored, "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile}
 
 SQL: dict[str, str] = {
     "p4_found": _P4_LINES + " SELECT id_long, line_no FROM f JOIN k USING (domain, form)",
