@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wrackline.llm import boilerplate, bpe, garbled, lines, pack, reading
+from wrackline.llm import boilerplate, bpe, garbled, lines, pack, reading, spam
 from wrackline.session import table
 
 
@@ -60,6 +60,17 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p3_restored(spark, sf_dir).select("id_long", "field_name")
 
 
+def p7_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prose and list letters of every memento with content, and whether lists prevail."""
+    pages = table(spark, sf_dir, "mementos")
+    return spam.rate_pages(pages, "id_long", boilerplate.wrapper_for(pages))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose main text is mostly keywords, links or tags."""
+    return p7_pages(spark, sf_dir).where("flagged").select("id_long")
+
+
 def p10_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language and reading level of every document."""
     return reading.rate(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "graded_texts"), table(spark, sf_dir, "lang_samples"))
@@ -83,7 +94,7 @@ _P4_LINES = """
     f AS (SELECT id_long, domain, url, CAST(line_no AS INT) AS line_no, trim(regexp_replace(lower(line), '[^\\p{L}\\p{M}]+', ' ', 'g')) AS form FROM l),
     k AS (SELECT domain, form FROM f WHERE form <> '' GROUP BY domain, form HAVING count(DISTINCT url) >= 5)"""
 
-QUERIES = {"p8_ids": p8_ids, "p9_pack": p9_pack, "p9_summary": p9_summary, "p4_found": p4_found, "p4_clean": p4_clean, "p2_found": p2_found, "p2_body": p2_body, "p3_found": p3_found, "p3_restored": p3_restored, "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile}
+QUERIES = {"p8_ids": p8_ids, "p9_pack": p9_pack, "p9_summary": p9_summary, "p4_found": p4_found, "p4_clean": p4_clean, "p2_found": p2_found, "p2_body": p2_body, "p3_found": p3_found, "p3_restored": p3_restored, "p7_found": p7_found, "p7_pages": p7_pages, "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile}
 
 SQL: dict[str, str] = {
     "p4_found": _P4_LINES + " SELECT id_long, line_no FROM f JOIN k USING (domain, form)",
