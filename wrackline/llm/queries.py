@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wrackline.llm import boilerplate, bpe, garbled, lines, pack, reading, spam
+from wrackline.llm import boilerplate, bpe, garbled, langid, lines, pack, reading, segments, spam
 from wrackline.session import table
 
 
@@ -38,6 +38,23 @@ def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.without_lines(pages, "id_long", "content", p4_found(spark, sf_dir)).select("id_long", "content_clean")
 
 
+def p1_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of the segments of every page's running text, with confidence."""
+    pages = table(spark, sf_dir, "mementos")
+    samples = [(r["lang"], r["text"]) for r in table(spark, sf_dir, "lang_samples").where("lang IS NOT NULL AND text IS NOT NULL").limit(langid.MAX_SAMPLES).collect()]
+    return segments.page_segments(pages, "id_long", boilerplate.wrapper_for(pages), langid.LanguageModel(segments.with_copies(samples)))
+
+
+def p1_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of every page's running text."""
+    return segments.page_languages(p1_segments(spark, sf_dir), "id_long")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of pages whose label is missing or wrong, or whose running text is mixed."""
+    return segments.mislabelled(table(spark, sf_dir, "mementos"), "id_long", "content_language", p1_segments(spark, sf_dir))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of content that are not part of the page's main body."""
     pages = table(spark, sf_dir, "mementos")
@@ -94,7 +111,7 @@ _P4_LINES = """
     f AS (SELECT id_long, domain, url, CAST(line_no AS INT) AS line_no, trim(regexp_replace(lower(line), '[^\\p{L}\\p{M}]+', ' ', 'g')) AS form FROM l),
     k AS (SELECT domain, form FROM f WHERE form <> '' GROUP BY domain, form HAVING count(DISTINCT url) >= 5)"""
 
-QUERIES = {"p8_ids": p8_ids, "p9_pack": p9_pack, "p9_summary": p9_summary, "p4_found": p4_found, "p4_clean": p4_clean, "p2_found": p2_found, "p2_body": p2_body, "p3_found": p3_found, "p3_restored": p3_restored, "p7_found": p7_found, "p7_pages": p7_pages, "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile}
+QUERIES = {"p8_ids": p8_ids, "p9_pack": p9_pack, "p9_summary": p9_summary, "p4_found": p4_found, "p4_clean": p4_clean, "p1_found": p1_found, "p1_segments": p1_segments, "p1_pages": p1_pages, "p2_found": p2_found, "p2_body": p2_body, "p3_found": p3_found, "p3_restored": p3_restored, "p7_found": p7_found, "p7_pages": p7_pages, "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile}
 
 SQL: dict[str, str] = {
     "p4_found": _P4_LINES + " SELECT id_long, line_no FROM f JOIN k USING (domain, form)",
