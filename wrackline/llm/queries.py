@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wrackline.llm import boilerplate, bpe, garbled, langid, lines, pack, reading, segments, spam
+from wrackline.llm import boilerplate, bpe, garbled, langid, lines, pack, reading, segments, spam, truncated
 from wrackline.session import table
 
 
@@ -77,6 +77,21 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p3_restored(spark, sf_dir).select("id_long", "field_name")
 
 
+def p5_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence on every memento whose content ends open."""
+    return truncated.judge(table(spark, sf_dir, "mementos"), "id_long", "content", "url", "domain", "content_text_length")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mementos whose content was cut inside a line."""
+    return p5_judged(spark, sf_dir).where("cut").select("id_long")
+
+
+def p5_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of cut contents per host."""
+    return truncated.source_rates(table(spark, sf_dir, "mementos"), "id_long", "host", "content", p5_found(spark, sf_dir))
+
+
 def p7_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prose and list letters of every memento with content, and whether lists prevail."""
     pages = table(spark, sf_dir, "mementos")
@@ -111,7 +126,7 @@ _P4_LINES = """
     f AS (SELECT id_long, domain, url, CAST(line_no AS INT) AS line_no, trim(regexp_replace(lower(line), '[^\\p{L}\\p{M}]+', ' ', 'g')) AS form FROM l),
     k AS (SELECT domain, form FROM f WHERE form <> '' GROUP BY domain, form HAVING count(DISTINCT url) >= 5)"""
 
-QUERIES = {"p8_ids": p8_ids, "p9_pack": p9_pack, "p9_summary": p9_summary, "p4_found": p4_found, "p4_clean": p4_clean, "p1_found": p1_found, "p1_segments": p1_segments, "p1_pages": p1_pages, "p2_found": p2_found, "p2_body": p2_body, "p3_found": p3_found, "p3_restored": p3_restored, "p7_found": p7_found, "p7_pages": p7_pages, "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile}
+QUERIES = {"p8_ids": p8_ids, "p9_pack": p9_pack, "p9_summary": p9_summary, "p4_found": p4_found, "p4_clean": p4_clean, "p1_found": p1_found, "p1_segments": p1_segments, "p1_pages": p1_pages, "p2_found": p2_found, "p2_body": p2_body, "p3_found": p3_found, "p3_restored": p3_restored, "p5_found": p5_found, "p5_judged": p5_judged, "p5_rates": p5_rates, "p7_found": p7_found, "p7_pages": p7_pages, "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile}
 
 SQL: dict[str, str] = {
     "p4_found": _P4_LINES + " SELECT id_long, line_no FROM f JOIN k USING (domain, form)",
