@@ -37,22 +37,29 @@ RARE_END = 0.05
 LIMIT_TEXTS, LIMIT_RATIO = 10, 5
 
 _LINES = r"""
-    SELECT id, u, site, line_no, n_lines, line,
-           regexp_replace(line, '[\\s\\xa0]+$', '') AS bare
-    FROM (SELECT id, xxhash64(url) AS u, site, p + 1 AS line_no, size(split(text, '\n')) AS n_lines, line
-          FROM {texts} LATERAL VIEW posexplode(split(text, '\n')) x AS p, line)
-    WHERE line RLIKE '[\\p{{L}}\\p{{N}}]'
+    SELECT id, xxhash64(url) AS u, site, p + 1 = size(split(text, '\n')) AS last, rtrim(' \t\r\xa0', line) AS bare
+    FROM {texts} LATERAL VIEW posexplode(split(text, '\n')) x AS p, line
 """
 
+# open: without a sentence mark or a closing sign at the end
+_OPEN = r"""NOT (right(bare, 16) RLIKE '[.!?。！？…]["”»“«’\')\\]]*$' OR right(bare, 2) = '>>' OR right(bare, 1) IN (']', ')'))"""
+
+_WORDS = r"""filter(split(lower(regexp_replace(bare, '[.!?。！？…]+', ' . ')), '[^\\p{{L}}\\p{{N}}.]+'), w -> w <> '')"""
+
+# form: letters of a line (ASCII ones if there are enough, so that a garbled copy has the same form), long lines as they are
+# build: first character, punctuation, kind of the last word, length
 _BUILT = r"""
-    SELECT id, u, line_no = n_lines AS last, line, bare,
-           xxhash64(CASE WHEN length(regexp_replace(low, '[^a-z]+', '')) >= 6 THEN regexp_replace(low, '[^a-z]+', '') ELSE regexp_replace(low, '[^\\p{{L}}]+', '') END) AS form,
-           NOT (bare RLIKE '[.!?。！？…]["”»“«’\')\\]]*$' OR bare RLIKE '(>>|\\]|\\))$') AS open,
-           filter(split(lower(regexp_replace(bare, '[.!?。！？…]+', ' . ')), '[^\\p{{L}}\\p{{N}}.]+'), w -> w <> '') AS words,
-           concat(CASE WHEN bare RLIKE '^\\s*\\p{{Lu}}' THEN 'A' WHEN bare RLIKE '^\\s*\\p{{Ll}}' THEN 'a' WHEN bare RLIKE '^\\s*[0-9]' THEN '0' ELSE trim(substr(ltrim(bare), 1, 1)) END,
-                  array_join(array_sort(array_distinct(split(regexp_replace(regexp_replace(substr(ltrim(bare), 2), '[.!?。！？…]["”»“«’\')\\]]*$', ''), '[\\p{{L}}\\p{{M}}\\p{{N}}\\s]', ''), ''))), ''),
-                  CASE WHEN bare RLIKE '(^|[^\\p{{L}}\\p{{N}}])\\p{{Ll}}[\\p{{L}}\\p{{M}}]*[^\\p{{L}}\\p{{N}}]*$' THEN 'l' WHEN bare RLIKE '[\\p{{L}}\\p{{M}}][^\\p{{L}}\\p{{N}}]*$' THEN 'u' ELSE '0' END) AS marks
-    FROM (SELECT *, CASE WHEN length(site) >= 4 THEN replace(lower(bare), site, '') ELSE lower(bare) END AS low FROM {lines})
+    SELECT id, u, last, open, bare,
+           CASE WHEN length(bare) > 300 THEN xxhash64(low) ELSE xxhash64(CASE WHEN length(ascii) >= 6 THEN ascii ELSE regexp_replace(low, '[^\\p{{L}}]+', '') END) END AS form,
+           concat(CASE WHEN head RLIKE '^\\p{{Lu}}' THEN 'A' WHEN head RLIKE '^\\p{{Ll}}' THEN 'a' WHEN head RLIKE '^[0-9]' THEN '0' ELSE head END,
+                  array_join(array_sort(array_distinct(split(regexp_replace(CASE WHEN open THEN substr(ltrim(bare), 2) ELSE regexp_replace(substr(ltrim(bare), 2), '[.!?。！？…]["”»“«’\')\\]]*$', '') END, '[\\p{{L}}\\p{{M}}\\p{{N}}\\s]+', ''), ''))), ''),
+                  CASE WHEN right(bare, 60) RLIKE '(^|[^\\p{{L}}\\p{{N}}])\\p{{Ll}}[\\p{{L}}\\p{{M}}]*[^\\p{{L}}\\p{{N}}]*$' THEN 'l' WHEN right(bare, 60) RLIKE '[\\p{{L}}\\p{{M}}][^\\p{{L}}\\p{{N}}]*$' THEN 'u' ELSE '0' END,
+                  '/', CASE WHEN gaps <= 4 THEN 0 WHEN gaps <= 8 THEN 1 WHEN gaps <= 14 THEN 2 WHEN gaps <= 24 THEN 3 ELSE 4 END) AS build
+    FROM (SELECT *, CASE WHEN length(bare) > 300 THEN '' ELSE regexp_replace(low, '[^a-z]+', '') END AS ascii
+          FROM (SELECT *, """ + _OPEN + r""" AS open, substr(ltrim(bare), 1, 1) AS head, length(bare) - length(replace(bare, ' ', '')) + 1 AS gaps,
+                       CASE WHEN length(site) >= 4 THEN replace(lower(bare), site, '') ELSE lower(bare) END AS low
+                FROM {lines}))
+    WHERE bare RLIKE '[\\p{{L}}\\p{{N}}]'
 """
 
 
@@ -61,25 +68,37 @@ def judge(df: DataFrame, key: str, text: str, url: str, source: str | None = Non
     spark = df.sparkSession
     texts = df.where(F.col(text).isNotNull()).select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"), F.coalesce(F.col(url).cast("string"), F.lit("")).alias("url"), (F.lower(F.split_part(F.col(source), F.lit("."), F.lit(1))) if source else F.lit("")).alias("site"), (F.col(declared) if declared else F.lit(None)).cast("bigint").alias("declared"))
     lines = spark.sql(_LINES, texts=texts)
-    built = spark.sql(_BUILT, lines=lines)
-    shaped = spark.sql("SELECT *, concat(marks, '/', CASE WHEN size(words) <= 4 THEN 0 WHEN size(words) <= 8 THEN 1 WHEN size(words) <= 14 THEN 2 WHEN size(words) <= 24 THEN 3 ELSE 4 END) AS build FROM {b}", b=built)
+    # one pass over the texts for what is asked of whole lines, kept in compact form
+    built = staged(spark.sql("SELECT u, last, open, form, build, CASE WHEN last AND open THEN id END AS id, CASE WHEN last AND open THEN bare END AS bare FROM {b} WHERE NOT last OR open", b=spark.sql(_BUILT, lines=lines)), "lines-built")
     # builds of lines that a further line follows: a few thousand
-    builds = spark.sql("SELECT build, count_if(open) AS n_open, count(*) AS n_build FROM {s} WHERE NOT last GROUP BY build", s=shaped)
-    ends = staged(spark.sql("SELECT id, form, build, bare, words[size(words) - 1] AS word, CASE WHEN size(words) >= 3 THEN xxhash64(words[size(words) - 3], words[size(words) - 2], words[size(words) - 1]) END AS g FROM {s} WHERE last AND open", s=shaped), "open-ends")
+    builds = spark.sql("SELECT build, count_if(open) AS n_open, count(*) AS n_build FROM {b} WHERE NOT last GROUP BY build", b=built)
     # last lines that are whole lines elsewhere
-    known = spark.sql("SELECT form FROM {s} WHERE NOT last GROUP BY form HAVING count(DISTINCT u) >= 3", s=shaped)
-    unknown = staged(spark.sql("SELECT * FROM {e} LEFT ANTI JOIN {k} USING (form)", e=ends, k=known), "unknown-ends")
+    known = spark.sql("SELECT form FROM {b} WHERE NOT last GROUP BY form HAVING count(DISTINCT u) >= 3", b=built)
+    unknown = staged(
+        spark.sql(
+            "SELECT id, form, build, bare, xxhash64(w[size(w) - 1]) AS word, CASE WHEN size(w) >= 3 THEN xxhash64(w[size(w) - 3], w[size(w) - 2], w[size(w) - 1]) END AS g FROM (SELECT *, " + _WORDS + " AS w FROM {b} LEFT ANTI JOIN {k} USING (form) WHERE last)",
+            b=built, k=known,
+        ),
+        "unknown-ends",
+    )
     finals = spark.sql("SELECT DISTINCT g FROM {u} WHERE g IS NOT NULL", u=unknown)
-    if finals.count() <= MAX_BROADCAST:
-        finals = F.broadcast(finals)
+    last_words = spark.sql("SELECT DISTINCT word FROM {u}", u=unknown)
+    if unknown.count() <= MAX_BROADCAST:
+        finals, last_words = F.broadcast(finals), F.broadcast(last_words)
+    # one pass for trigrams and words; only those that end an unknown line are counted
+    spoken = spark.sql("SELECT " + _WORDS + " AS words FROM {l} WHERE NOT (last AND " + _OPEN + ")", l=lines)
     grams = spark.sql(
-        """SELECT g.h AS g, g.o AS ended FROM (
-               SELECT explode(transform(sequence(2, size(words) - 1), i -> struct(xxhash64(words[i - 2], words[i - 1], words[i]) AS h, i = size(words) - 1 OR words[i + 1] = '.' AS o))) AS g
-               FROM {s} WHERE size(words) >= 3 AND NOT (last AND open))""",
-        s=shaped,
+        """SELECT g.h AS h, g.w AS w, g.o AS ended FROM (
+               SELECT explode(transform(words, (x, i) -> struct(CASE WHEN i >= 2 THEN xxhash64(words[i - 2], words[i - 1], x) END AS h, xxhash64(x) AS w, i = size(words) - 1 OR words[i + 1] = '.' AS o))) AS g
+               FROM {s} WHERE size(words) >= 1)""",
+        s=spoken,
+    )
+    hits = staged(
+        spark.sql("SELECT f.g, r.word, count_if(NOT ended) AS inside, count_if(ended) AS ends FROM {x} x LEFT JOIN {f} f ON x.h = f.g LEFT JOIN {r} r ON x.w = r.word WHERE f.g IS NOT NULL OR r.word IS NOT NULL GROUP BY f.g, r.word", x=grams, f=finals, r=last_words),
+        "end-counts",
     )
-    counts = spark.sql("SELECT g, count_if(NOT ended) AS inside, count_if(ended) AS ends FROM {x} LEFT SEMI JOIN {f} USING (g) GROUP BY g", x=grams, f=finals)
-    rare = spark.sql("SELECT word FROM (SELECT explode(words) AS word FROM {s} WHERE NOT (last AND open)) LEFT SEMI JOIN {u} USING (word) GROUP BY word HAVING count(*) >= 3", s=shaped, u=F.broadcast(unknown.select("word").distinct()) if unknown.count() <= MAX_BROADCAST // 10 else unknown.select("word").distinct())
+    counts = spark.sql("SELECT g, sum(inside) AS inside, sum(ends) AS ends FROM {h} WHERE g IS NOT NULL GROUP BY g", h=hits)
+    rare = spark.sql("SELECT word FROM {h} WHERE word IS NOT NULL GROUP BY word HAVING sum(inside + ends) >= 3", h=hits)
     sizes = spark.sql("SELECT id, length(text) AS chars, octet_length(text) AS bytes, declared, xxhash64(text) AS h FROM {t}", t=texts)
     limits = None
     for unit in ("chars", "bytes"):
@@ -94,7 +113,7 @@ def judge(df: DataFrame, key: str, text: str, url: str, source: str | None = Non
                    WHEN inside + ends >= 3 AND ends <= {RARE_END} * (inside + ends) THEN open_share < CASE WHEN ends = 0 AND inside >= 10 THEN 0.9 ELSE 0.6 END
                    ELSE open_share < 0.25 OR bare RLIKE '\\\\s\\\\p{{{{Ll}}}}+$' AND NOT common END, false) AS cut,
                limit_hit AS limit, broken, open_share, inside, ends
-        FROM (SELECT u.id, u.bare, coalesce(c.inside, 0) AS inside, coalesce(c.ends, 0) AS ends, u.word, r.word IS NOT NULL AS common,
+        FROM (SELECT u.id, u.bare, coalesce(c.inside, 0) AS inside, coalesce(c.ends, 0) AS ends, r.word IS NOT NULL AS common,
                      (coalesce(b.n_open, 0) + 0.2) / (coalesce(b.n_build, 0) + 1) AS open_share,
                      l1.n IS NOT NULL OR l2.n IS NOT NULL AS limit_hit, coalesce(z.declared > z.chars, false) AS broken
               FROM {{u}} u JOIN {{z}} z ON u.id = z.id
