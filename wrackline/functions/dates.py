@@ -10,11 +10,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wrackline.functions import bound
+
 
 def crawl_date(stamp: Column) -> Column:
     """Timestamp of 12, 14, 16 or more digits (punctuation ignored); null for other lengths."""
     digits = F.regexp_replace(stamp, "[^0-9]", "")
-    full = F.when(F.length(digits) == 12, F.concat(digits, F.lit("00"))).when(F.length(digits) >= 14, F.substring(digits, 1, 14))
+    full = bound(digits, lambda d: F.when(F.length(d) == 12, F.concat(d, F.lit("00"))).when(F.length(d) >= 14, F.substring(d, 1, 14)))
     return F.try_to_timestamp(full, F.lit("yyyyMMddHHmmss"))
 
 

@@ -201,7 +201,7 @@ def image_size(data: bytes | None) -> tuple[int | None, int | None]:
             return w, abs(h)
         if d[:2] == b"\xff\xd8":
             at = 2
-            while at + 9 < len(d):
+            while at + 9 <= len(d):
                 if d[at] != 0xFF:
                     at += 1
                     continue

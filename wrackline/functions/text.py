@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wrackline.functions import bound
+
 #: Pattern of UK postcodes in running text (a fixed value).
 POSTCODE = r"[A-Z]{1,2}[0-9R][0-9A-Z]? [0-9][ABD-HJLNP-UW-Z]{2}"
 #: Strict forms of a whole postcode.
@@ -25,7 +27,7 @@ def adjust(value: Column, max_length: int | None = None, rewrites: Sequence[tupl
         out = F.regexp_replace(out, pattern, to)
     if max_length is not None:
         out = F.substring(out, 1, max_length)
-    return F.nullif(out, F.lit(""))
+    return bound(out, lambda v: F.when(v != "", v))
 
 
 def limit_values(values: Column, max_values: int, distinct: bool = True) -> Column:
@@ -67,16 +69,23 @@ def path_tokens(text: Column, stop: Sequence[str] = ("http", "https", "www", "co
     return F.filter(tokens(text), lambda w: ~w.isin(*stop))
 
 
+def _runs(size: Column, least: int, most: int, cut: Callable[[Column, int], Column]) -> Column:
+    none = F.array().cast("array<string>")
+
+    def of(n: int) -> Column:
+        return F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: cut(i, n))).otherwise(none)
+
+    return F.flatten(F.array(*[of(n) for n in range(least, most + 1)]))
+
+
 def shingles(words: Column, least: int, most: int) -> Column:
     """Runs of ``least`` to ``most`` words, joined by a space."""
-    runs = [F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i, n=n: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>")) for n in range(least, most + 1)]
-    return F.flatten(F.array(*runs))
+    return bound(words, lambda w: _runs(F.size(w), least, most, lambda i, n: F.array_join(F.slice(w, i, n), " ")))
 
 
 def char_ngrams(text: Column, least: int = 2, most: int = 5) -> Column:
     """All substrings of ``least`` to ``most`` characters."""
-    runs = [F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i, n=n: text.substr(i, F.lit(n)))).otherwise(F.array().cast("array<string>")) for n in range(least, most + 1)]
-    return F.flatten(F.array(*runs))
+    return bound(text, lambda t: _runs(F.length(t), least, most, lambda i, n: t.substr(i, F.lit(n))))
 
 
 def letter_trigrams(text: Column) -> Column:
@@ -87,7 +96,10 @@ def letter_trigrams(text: Column) -> Column:
 
 def path_levels(path: Column, up: bool = False) -> Column:
     """``/a/b`` -> ``[/a, /a/b]``, or its tails ``[a/b, b]``."""
-    parts = F.filter(F.split(path, "/"), lambda p: p != "")
+    return bound(F.filter(F.split(path, "/"), lambda p: p != ""), lambda parts: _path_levels(parts, up))
+
+
+def _path_levels(parts: Column, up: bool) -> Column:
     size = F.size(parts)
     numbers = F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
     if up:

@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wrackline.functions import bound
+
 MALFORMED = "malformed.host"
 #: Public suffixes of more than one label, besides those below ``.uk``; pass your own list for a full one.
 SUFFIXES = ("co.jp", "ac.jp", "com.au", "org.au", "net.au", "co.nz", "org.nz", "com.br", "co.za", "co.in", "co.kr", "com.cn", "com.mx", "com.ar", "com.tr", "googleapis.com", "blogspot.com", "blogspot.dk", "blogspot.co.uk", "github.io", "co.example", "org.test")
@@ -143,14 +145,13 @@ def resolve_url(base: Column, relative: Column, normalise: bool = True) -> Colum
 
 def sanitise_header(value: Column) -> Column:
     """Drops angle brackets around a header value when both are there."""
-    return F.when(value.rlike(r"^<[^\n]*>$"), F.substring(value, 2, 1 << 30).substr(F.lit(1), F.length(value) - 2)).otherwise(value)
+    return F.regexp_replace(value, r"^<([^\n]*)>$", "$1")
 
 
 def host(url: Column) -> Column:
     """The host of a URL, ``malformed.host`` where it has no valid one, null for null."""
     found = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
-    valid = found.rlike(_HOST) & (F.length(found) <= 255)
-    return F.when(url.isNull(), F.lit(None).cast("string")).when(valid, F.lower(found)).otherwise(F.lit(MALFORMED))
+    return bound(found, lambda f: F.when(f.isNull(), F.lit(None).cast("string")).when(f.rlike(_HOST) & (F.length(f) <= 255), F.lower(f)).otherwise(F.lit(MALFORMED)))
 
 
 def valid_host(host_: Column) -> Column:
@@ -171,30 +172,34 @@ def _is_address(host_: Column) -> Column:
     return host_.rlike(r"^[0-9.]+$") | host_.contains(":") | (host_ == F.lit(MALFORMED))
 
 
+def _suffix(parts: Column, suffixes: tuple[str, ...]) -> Column:
+    n = F.size(parts)
+    tail = lambda k: F.array_join(F.slice(parts, F.greatest(n - k + 1, F.lit(1)), k), ".")
+    many = F.when((F.element_at(parts, -1) == "uk") & (n >= 2), 2).when((n >= 3) & tail(3).isin(*suffixes), 3).when((n >= 2) & tail(2).isin(*suffixes), 2)
+    return many.otherwise(F.when(F.element_at(parts, -1) == "uk", F.lit(None).cast("int")).otherwise(1))
+
+
+def _tail(parts: Column, n: Column) -> Column:
+    return F.array_join(F.slice(parts, F.greatest(F.size(parts) - n + 1, F.lit(1)), n), ".")
+
+
 def public_suffix(host_: Column, suffixes: tuple[str, ...] = SUFFIXES) -> Column:
     """Below ``.uk`` the last two labels; else the longest listed suffix, or the last label."""
-    parts = _labels(host_)
-    last = lambda n: F.when(F.size(parts) >= n, F.array_join(F.slice(parts, -n, n), "."))
-    three, two = last(3), last(2)
-    listed = lambda c: c.isin(*suffixes)
-    out = F.when(host_.endswith(".uk"), two).when(listed(three), three).when(listed(two), two).otherwise(F.element_at(parts, -1))
-    return F.when(_is_address(host_), F.lit(None).cast("string")).otherwise(out)
+    of = lambda parts: bound(_suffix(parts, suffixes), lambda n: F.when(n.isNotNull(), _tail(parts, n)))
+    return bound(host_, lambda h: F.when(~_is_address(h), bound(_labels(h), of)))
 
 
 def private_suffix(host_: Column, suffixes: tuple[str, ...] = SUFFIXES) -> Column:
     """The public suffix and one label more (the registered domain); the host itself if it has no more."""
-    parts = _labels(host_)
-    n = F.size(F.split(public_suffix(host_, suffixes), r"\.")) + 1
-    out = F.when(F.size(parts) >= n, F.array_join(F.slice(parts, F.greatest(F.size(parts) - n + 1, F.lit(1)), n), "."))
-    return F.when(_is_address(host_), host_).otherwise(F.coalesce(out, host_))
+    of = lambda parts: bound(F.coalesce(_suffix(parts, suffixes), F.lit(1)) + 1, lambda n: _tail(parts, n))
+    return bound(host_, lambda h: F.when(_is_address(h), h).when(h.isNotNull(), bound(_labels(h), of)))
 
 
 def host_levels(host_: Column) -> Column:
     """``[uk, co.uk, bbc.co.uk]``; empty for addresses and malformed hosts."""
-    parts = _labels(host_)
-    size = F.size(parts)
-    levels = F.transform(F.sequence(F.lit(1), size), lambda i: F.array_join(F.slice(parts, size - i + 1, i), "."))
-    return F.when(host_.isNull() | _is_address(host_) | (host_ == ""), F.array().cast("array<string>")).otherwise(levels)
+    of = lambda parts: F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: _tail(parts, i))
+    none = F.array().cast("array<string>")
+    return bound(host_, lambda h: F.when(h.isNull() | _is_address(h) | (h == ""), none).otherwise(bound(_labels(h), of)))
 
 
 def surt(host_: Column) -> Column:
@@ -204,7 +209,7 @@ def surt(host_: Column) -> Column:
 
 def host_surts(host_: Column) -> Column:
     """The SURT of every level of a host."""
-    return F.transform(host_levels(host_), surt)
+    return F.transform(host_levels(host_), lambda h: surt(h))
 
 
 def url_surt(url: Column) -> Column:
@@ -232,12 +237,15 @@ def distinct_suffixes(links: Column) -> Column:
 def path(url: Column) -> Column:
     """The path of a URL; ``/`` where it is empty."""
     found = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
-    return F.when(url.isNull(), F.lit(None).cast("string")).when(found == "", F.lit("/")).otherwise(found)
+    return bound(found, lambda f: F.when(f == "", F.lit("/")).otherwise(f))
 
 
 def url_type(url: Column) -> Column:
     """``slashpage``, ``robots.txt`` or ``normal``, by path."""
-    p = path(url)
+    return bound(path(url), _path_type)
+
+
+def _path_type(p: Column) -> Column:
     return F.when((p == "/") | (p == "") | p.rlike(r"^/index\.[a-z]+$"), "slashpage").when(p == "/robots.txt", "robots.txt").otherwise("normal")
 
 

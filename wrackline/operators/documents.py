@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wrackline.functions import content_types, dates, html, payload, text, urls
+from wrackline.functions import bound, content_types, dates, html, payload, text, urls
 from wrackline.operators import filters
 
 
@@ -75,6 +75,11 @@ def envelope(records: DataFrame) -> DataFrame:
     ).drop("_stamp")
 
 
+def _settled(df: DataFrame) -> DataFrame:
+    """``df`` with a column that keeps the optimizer from writing the expressions so far into later ones."""
+    return df.withColumn("_settled", F.monotonically_increasing_id())
+
+
 def build_documents(records: DataFrame, config: Config | None = None) -> DataFrame:
     """A document per kept record: filters, envelope, payload, types, text and links.
 
@@ -82,7 +87,7 @@ def build_documents(records: DataFrame, config: Config | None = None) -> DataFra
     its envelope and served type only. Scripts and style sheets get no text.
     """
     config = config or Config()
-    docs = filters.keep_captures(envelope(records), {"record_types": list(config.record_types), "protocols": list(config.protocols), "url_exclude": list(config.url_exclude), "statuses": list(config.statuses)})
+    docs = filters.keep_captures(_settled(envelope(records)), {"record_types": list(config.record_types), "protocols": list(config.protocols), "url_exclude": list(config.url_exclude), "statuses": list(config.statuses)})
     revisit = filters.is_revisit(F.col("record_type"))
     head = F.col("http_headers")
     decoded = payload.decoded_payload(F.when(~revisit, F.col("payload")), http_header(head, "transfer-encoding"), http_header(head, "content-encoding"), config.hash_stage, config.max_payload_bytes)
@@ -92,7 +97,7 @@ def build_documents(records: DataFrame, config: Config | None = None) -> DataFra
             "content_length": F.when(~revisit, F.length("payload").cast("bigint")),
             "hash": F.when(revisit, F.col("warc_headers")["WARC-Payload-Digest"]).otherwise(F.col("_decoded.hash")),
             "content_first_bytes": F.when(~revisit, payload.first_bytes(F.col("payload"))),
-            "content_type_tika": F.when(~revisit, payload.sniffed_type(F.col("_decoded.payload"))),
+            "content_type_tika": bound(F.when(~revisit, F.col("_decoded.payload")), lambda p: payload.sniffed_type(p)),
             "institution": F.lit(config.institution).cast("string"),
             "collection": F.lit(config.collection).cast("string"),
             "collection_id": F.lit(config.collection_id).cast("string"),
@@ -100,13 +105,14 @@ def build_documents(records: DataFrame, config: Config | None = None) -> DataFra
     )
     full = content_types.full_type(F.col("content_type_tika"), F.lit(None).cast("string"), F.col("warc_headers")["WARC-Identified-Payload-Type"], F.col("content_type_served"), F.col("warc_headers")["Content-Type"])
     docs = docs.withColumn("content_type_full", F.when(revisit, F.col("content_type_served")).otherwise(full))
-    docs = docs.withColumn("content_type", content_types.content_type(F.col("content_type_full"), F.col("content_length"), F.col("record_type")))
+    docs = _settled(docs.withColumn("content_type", content_types.content_type(F.col("content_type_full"), F.col("content_length"), F.col("record_type"))))
     is_page = filters.is_html(F.col("content_type")) & filters.text_kept(F.col("content_type"))
     charset = html.charset_of(F.col("_decoded.payload"), F.col("content_type_served"))
     docs = docs.withColumn("content_encoding", F.when(is_page, charset))
     docs = docs.withColumn("_page", html.html_features(F.when(is_page, html.decode_page(F.col("_decoded.payload"), F.col("content_encoding"))), F.col("url")))
     links = F.coalesce(F.col("_page.links"), F.array().cast("array<string>"))
-    hosts = F.array_distinct(F.transform(links, urls.host))
+    docs = docs.withColumns({"links": links, "links_hosts": F.array_distinct(F.transform(links, lambda u: urls.host(u)))})
+    hosts = F.col("links_hosts")
     body = F.substring(F.col("_page.text"), 1, config.max_text_length)
     failures = F.concat_ws("; ", "parse_error", "_decoded.error", payload.digest_check(F.col("hash"), F.when(~revisit, payload.sha1_base32(F.col("warc_headers")["WARC-Payload-Digest"]))))
     docs = docs.withColumns(
@@ -123,11 +129,9 @@ def build_documents(records: DataFrame, config: Config | None = None) -> DataFra
             "publication_date": F.col("_page.publication_date"),
             "elements_used": F.col("_page.elements"),
             "license_url": F.col("_page.licenses"),
-            "links": links,
             "links_images": F.col("_page.links_images"),
-            "links_hosts": hosts,
-            "links_domains": F.array_distinct(F.transform(hosts, urls.private_suffix)),
-            "links_public_suffixes": F.array_distinct(F.array_compact(F.transform(hosts, urls.public_suffix))),
+            "links_domains": F.array_distinct(F.transform(hosts, lambda h: urls.private_suffix(h))),
+            "links_public_suffixes": F.array_distinct(F.array_compact(F.transform(hosts, lambda h: urls.public_suffix(h)))),
             "links_hosts_surts": F.array_distinct(F.flatten(F.transform(hosts, urls.host_surts))),
             "postcode": text.postcodes(F.coalesce(body, F.lit(""))),
             "postcode_district": text.postcode_districts(F.coalesce(body, F.lit(""))),
@@ -142,7 +146,7 @@ def build_documents(records: DataFrame, config: Config | None = None) -> DataFra
         docs = docs.withColumn(name, text.limit_values(F.col(name), most))
     if not config.store_text:
         docs = docs.withColumnRenamed("content", "text")
-    return docs.drop("_decoded", "_page", "location", "payload")
+    return docs.drop("_decoded", "_page", "_settled", "location", "payload")
 
 
 def as_json(documents: DataFrame, column: str = "json") -> DataFrame:

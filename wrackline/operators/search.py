@@ -25,7 +25,10 @@ def search(df: DataFrame, query: str, column: str, id_: str, rows: int = 50, sta
     kept = df if where is None else df.where(where)
     for w in words:  # cheap text test first, exact token test after
         kept = kept.where(low.contains(w))
-    counts = [F.size(F.filter(F.col("_tokens"), lambda t, w=w: t == w)) for w in words]
+    def occurrences(word: str) -> Column:
+        return F.size(F.filter(F.col("_tokens"), lambda t: t == word))
+
+    counts = [occurrences(w) for w in words]
     scored = kept.select(F.col(id_), F.col(column), tokens.alias("_tokens")).select(id_, column, *[c.alias(f"_n{i}") for i, c in enumerate(counts)])
     for i in range(len(words)):
         scored = scored.where(F.col(f"_n{i}") > 0)

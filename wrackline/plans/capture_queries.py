@@ -45,7 +45,7 @@ def url_parts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "mementos").select("id_long", urls.host(u).alias("host"), urls.path(u).alias("path"), urls.url_type(u).alias("url_type"), urls.resource_name(u).alias("resourcename"), urls.extension(u).alias("extension"))
 
 
-_LEVELS = "list_transform(range(1, len(string_split({h}, '.')) + 1), i -> array_to_string(list_slice(string_split({h}, '.'), len(string_split({h}, '.')) - i + 1, len(string_split({h}, '.'))), '.'))"
+_LEVELS = "list_transform(range(1, len(string_split({h}, '.')) + 1), lambda i: array_to_string(list_slice(string_split({h}, '.'), len(string_split({h}, '.')) - i + 1, len(string_split({h}, '.'))), '.'))"
 
 
 @query(
@@ -99,12 +99,12 @@ def top_terms(spark: SparkSession, d: str) -> DataFrame:
     return search.top_terms(table(spark, d, "documents"), "text", 1000)
 
 
-@query("SELECT id_long, list_sort(list_distinct(flatten([list_transform(range(1, length(title) - n + 2), i -> substr(title, i, n)) for n in [2, 3, 4, 5] if length(title) >= n]))) AS grams FROM mementos WHERE title IS NOT NULL")
+@query("SELECT id_long, list_sort(list_distinct(flatten([list_transform(range(1, length(title) - n + 2), lambda i: substr(title, i, n)) for n in [2, 3, 4, 5] if length(title) >= n]))) AS grams FROM mementos WHERE title IS NOT NULL")
 def title_ngrams(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "mementos").where("title IS NOT NULL").select("id_long", F.sort_array(F.array_distinct(text.char_ngrams(F.col("title")))).alias("grams"))
 
 
-@query("WITH w AS (SELECT id_long, list_filter(string_split_regex(lower(title), '[^\\pL\\pN]+'), x -> x <> '') AS t FROM mementos WHERE title IS NOT NULL) SELECT id_long, flatten([list_transform(range(1, len(t) - n + 2), i -> array_to_string(list_slice(t, i, i + n - 1), ' ')) for n in [2, 3] if len(t) >= n]) AS shingles FROM w")
+@query("WITH w AS (SELECT id_long, list_filter(string_split_regex(lower(title), '[^\\pL\\pN]+'), lambda x: x <> '') AS t FROM mementos WHERE title IS NOT NULL) SELECT id_long, flatten([list_transform(range(1, len(t) - n + 2), lambda i: array_to_string(list_slice(t, i, i + n - 1), ' ')) for n in [2, 3] if len(t) >= n]) AS shingles FROM w")
 def title_shingles(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "mementos").where("title IS NOT NULL").select("id_long", text.shingles(text.tokens(F.col("title")), 2, 3).alias("shingles"))
 
@@ -380,12 +380,12 @@ def digests_only_in_index(spark: SparkSession, d: str) -> DataFrame:
 
 # --- search (T8-T10, O5) -------------------------------------------------------------------------------
 
-_TOK = "list_filter(string_split_regex(lower(content), '[^\\pL\\pN]+'), x -> x <> '')"
+_TOK = "list_filter(string_split_regex(lower(content), '[^\\pL\\pN]+'), lambda x: x <> '')"
 
 
 @query(
     f"""WITH t AS (SELECT id_long, content, {_TOK} AS t FROM mementos WHERE content IS NOT NULL AND content_type_norm = 'html' AND contains(lower(content), 'harbour') AND contains(lower(content), 'board')),
-        s AS (SELECT id_long, content, len(list_filter(t, x -> x = 'harbour')) AS a, len(list_filter(t, x -> x = 'board')) AS b FROM t)
+        s AS (SELECT id_long, content, len(list_filter(t, lambda x: x = 'harbour')) AS a, len(list_filter(t, lambda x: x = 'board')) AS b FROM t)
         SELECT id_long, CAST(a + b AS DOUBLE) * CASE WHEN contains(lower(content), 'harbour board') THEN 2.0 ELSE 1.0 END AS score FROM s WHERE a > 0 AND b > 0
         ORDER BY score DESC, id_long LIMIT 50 OFFSET 10"""
 )

@@ -257,6 +257,8 @@ class WarcSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Make the source known to a session, and let Spark hand it filters on record types."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
 
 
