@@ -156,6 +156,7 @@ def word_counts(df: DataFrame, key: str, text: str, shared) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: ReadingModel = shared.value
         row_word: dict[str, np.ndarray] = {}
+        memo, known = None, -1
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 keys = batch.column(0).slice(at, 512)
@@ -166,11 +167,9 @@ def word_counts(df: DataFrame, key: str, text: str, shared) -> DataFrame:
                 best, sure = langid.decide(scores, grams)
                 langs = [model.languages.langs[b] if g else None for b, g in zip(best.tolist(), grams.tolist())]
                 # memo rows -> anchored word numbers, one table per language
-                known = len(model.languages.rows)
-                if row_word.get("", np.zeros(0)).shape[0] != known:
-                    listed = list(model.languages.rows)
-                    row_word = {lang: np.array([v.get(w, -1) for w in listed], dtype=np.int64) for lang, v in model.vocabulary.items()}
-                    row_word[""] = np.full(known, -1, dtype=np.int64)
+                if memo is not model.languages.rows or known != len(memo):
+                    memo, known = model.languages.rows, len(model.languages.rows)
+                    row_word = {lang: np.array([v.get(w, -1) for w in memo], dtype=np.int64) for lang, v in model.vocabulary.items()}
                 owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
                 found = np.full(len(rows), -1, dtype=np.int64)
                 of_lang = np.array([model.langs.index(x) if x in model.langs else -1 for x in langs])
