@@ -58,6 +58,11 @@ class _Members:
         if not self.packed:
             while self.at < end:
                 self.file.seek(self.at)
+                head = self.file.read(64)
+                self.at += len(head) - len(head.lstrip(b"\r\n"))  # a record begins after the blank lines of the last one
+                if not head or self.at >= end:
+                    return
+                self.file.seek(self.at)
                 yield self.at, self.file
                 self.at = self.file.tell()
             return
