@@ -83,11 +83,11 @@ def with_reloaded_exclusions(df: DataFrame, load: Callable[[], DataFrame], exclu
     return df.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def run_to_memory(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
+def run_to_memory(df: DataFrame, name: str, mode: str = "append", seconds: int = 120) -> DataFrame:
     """Run a stream over what is there and give its result as a table (for tests and small results)."""
-    query = df.writeStream.outputMode(mode).format("memory").queryName(name).start()
+    query = df.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
     try:
-        query.processAllAvailable()
+        query.awaitTermination(seconds)
     finally:
         query.stop()
     return df.sparkSession.table(name)
