@@ -168,11 +168,10 @@ class Wrapper:
         return len(item) >= 4 and at < len(self.sorted) and self.sorted[at].startswith(item)
 
     def label(self, text: str, site: str, title: str | None) -> tuple[list[str], list[int]]:
-        """(lines, label of each line)."""
-        raw = text.split("\n")
-        lines = raw
+        """(lines, garbled ones restored; label of each line)."""
+        lines = text.split("\n")
         if self.restorer and not text.isascii():
-            lines = [line if len(line) > LONG_LINE or line.isascii() or not (fixed := self.restorer.restore_line(line)) else fixed[0] for line in raw]
+            lines = [line if len(line) > LONG_LINE or line.isascii() or not (fixed := self.restorer.restore_line(line)) else fixed[0] for line in lines]
             if title and not title.isascii() and (fixed := self.restorer.restore(title)):
                 title = fixed[0]
         name = flat(title or "")
@@ -203,7 +202,7 @@ class Wrapper:
                     name = last
         self._sidebars(lines, parts, labels, name)
         self._dates(lines, labels)
-        return raw, labels
+        return lines, labels
 
     def _sidebars(self, lines: list[str], parts: list[list[str]], labels: list[int], name: str) -> None:
         k = 0

@@ -179,9 +179,15 @@ class Restorer:
         if line.isascii():
             return None
         words = words_in(line)
-        found = [self.readings(w, cut and k == len(words) - 1 and line.endswith(w)) for k, w in enumerate(words)]
+        found: list[dict[int, tuple[str, float, int]]] = []
+        common: set[int] = set()
+        for k, w in enumerate(words):
+            found.append(self.readings(w, cut and k == len(words) - 1 and line.endswith(w)))
+            common = set(found[0]) if k == 0 else common.intersection(found[k])
+            if not common:
+                break  # no transformation turns all words back
         best = None
-        for k in set(found[0]).intersection(*found[1:]):
+        for k in common and set(found[0]).intersection(*found[1:]):
             gain, changed = sum(f[k][1] for f in found), sum(f[k][2] for f in found)
             if changed and gain >= max(MIN_GAIN, MIN_GAIN_WORD * changed) and (best is None or gain > best[0]):
                 best = gain, k
@@ -190,7 +196,7 @@ class Restorer:
             text = " ".join(w if w.isascii() else next(swap) for w in line.split(" "))
             wrong, right = FAMILIES[best[1] % 1000]
             return text, f"{wrong}>{right}" + (" twice" if best[1] >= 1000 else "")
-        if any(_LOST in w and (bare(w).strip(_LOST) or w.strip(_LOST) == "") for w in words) or "ï¿½" in line:
+        if _LOST in line and any(_LOST in w and (bare(w).strip(_LOST) or w.strip(_LOST) == "") for w in words) or "ï¿½" in line:
             return " ".join(self._found(w) if _LOST in w else w for w in line.split(" ")), "lost"
         return None
 

@@ -42,7 +42,7 @@ def p1_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of the segments of every page's running text, with confidence."""
     pages = table(spark, sf_dir, "mementos")
     samples = [(r["lang"], r["text"]) for r in table(spark, sf_dir, "lang_samples").where("lang IS NOT NULL AND text IS NOT NULL").limit(langid.MAX_SAMPLES).collect()]
-    return segments.page_segments(pages, "id_long", boilerplate.wrapper_for(pages), langid.LanguageModel(segments.with_copies(samples)))
+    return segments.page_segments(pages, "id_long", boilerplate.wrapper_for(pages, garbled.learn(pages, ["content", "title"])), langid.LanguageModel(segments.with_copies(samples)))
 
 
 def p1_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +95,7 @@ def p5_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p7_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prose and list letters of every memento with content, and whether lists prevail."""
     pages = table(spark, sf_dir, "mementos")
-    return spam.rate_pages(pages, "id_long", boilerplate.wrapper_for(pages))
+    return spam.rate_pages(pages, "id_long", boilerplate.wrapper_for(pages, garbled.learn(pages, ["content", "title"])))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
