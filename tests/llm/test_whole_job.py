@@ -42,3 +42,25 @@ def test_label_returns_restored_lines():
     """p1 scores what a garbled line says, not its wrong characters."""
     fix = garbled.Restorer([garbled.FAMILIES.index(("latin-1", "utf-8"))], {"ía": 50, "lí": 50, "ó ": 50, "ió": 50, "ón": 50}, {"Política": 50, "Información": 50}, {})
     assert boilerplate.Wrapper({}, fix).label(bad("Política Información"), "", None)[0] == ["Política Información"]
+
+
+def test_deltas_equal_one_load(spark):
+    """p4: documents of a later delta lose lines that crossed before, and rebuilt ones do not get them back."""
+    rows = [(i, "d", f"u{i}", f"Home {i}\nText {chr(97 + i)}\nFooter", 2001) for i in range(5)]
+    rows += [(5 + i, "d", f"v{i}", f"Home\nOther {chr(97 + i)}\nText a", 2002) for i in range(4)]
+    rows += [(9, "d", "w", "Home", None), (10, None, "x", "Home", 2002), (11, "d", "y", None, 2003), (12, "d", "z", "Footer\nnew", 2003)]
+    df = spark.createDataFrame(rows, "id bigint, domain string, url string, content string, year int")
+    args = (df, "id", "domain", "url", "content")
+    whole = lines.repeated_lines(*args)
+    want = sorted(tuple(r) for r in whole.collect())
+    assert sorted(tuple(r) for r in lines.incremental_lines(*args, "year").collect()) == want and (12, 1) in want and (0, 2) in want
+    clean = {r["id"]: r["content_clean"] for r in lines.without_lines(df, "id", "content", whole).collect()}
+    built = lines.incremental_clean(*args, "year").collect()
+    assert len(built) == len(rows) and {r["id"]: r["content_clean"] for r in built} == clean
+    assert clean[0] == "" and clean[5] == "Other a" and clean[12] == "new"
+    keyed = lines.line_keys(*args)
+    state, _ = lines.merge_delta(lines.LineCounts(), keyed.where("id < 5"))
+    state, newly = lines.merge_delta(state, keyed.where("id >= 5"))
+    second = lines.rebuild(df, "id", "content", keyed, newly, state.crossed, df.where("id >= 5").select("id"))
+    assert {r["id"]: r["content_clean"] for r in second.collect()} == {k: v for k, v in clean.items() if k == 0 or k >= 5}
+    assert lines.incremental_lines(df.limit(0), *args[1:], "year").count() == 0

@@ -28,14 +28,13 @@ def p9_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines on at least 5 urls of their domain."""
-    return lines.repeated_lines(table(spark, sf_dir, "mementos"), "id_long", "domain", "url", "content")
+    """Lines on at least 5 urls of their domain, loaded year by year."""
+    return lines.incremental_lines(table(spark, sf_dir, "mementos"), "id_long", "domain", "url", "content", "crawl_year")
 
 
 def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every memento's content without such lines."""
-    pages = table(spark, sf_dir, "mementos").select("id_long", "content")
-    return lines.without_lines(pages, "id_long", "content", p4_found(spark, sf_dir)).select("id_long", "content_clean")
+    return lines.incremental_clean(table(spark, sf_dir, "mementos"), "id_long", "domain", "url", "content", "crawl_year")
 
 
 def p1_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
