@@ -64,3 +64,12 @@ def test_deltas_equal_one_load(spark):
     second = lines.rebuild(df, "id", "content", keyed, newly, state.crossed, df.where("id >= 5").select("id"))
     assert {r["id"]: r["content_clean"] for r in second.collect()} == {k: v for k, v in clean.items() if k == 0 or k >= 5}
     assert lines.incremental_lines(df.limit(0), *args[1:], "year").count() == 0
+
+
+def test_rare_lost_words(spark, monkeypatch):
+    """p3: a lost word below the share that is broadcast is restored too."""
+    monkeypatch.setattr(garbled, "LEAST_SHARE", 0.01)
+    rows = [(i, f"El niño añadió un jardín {i}", None) for i in range(200)] + [(900, "El Ni�o a�adi� un jard�n\n\nplain", None), (901, "Qx�zt alone", "(�)"), (902, None, None)]
+    df = spark.createDataFrame(rows, "id bigint, content string, title string")
+    fixed = {(r["id"], r["field_name"]): (r["restored"], r["n_lines"]) for r in garbled.restore(df, "id", ["content", "title"]).collect()}
+    assert fixed == {(900, "content"): ("El Niño añadió un jardín\n\nplain", 1), (901, "content"): ("Qx�zt alone", 1)}

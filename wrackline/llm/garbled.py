@@ -129,6 +129,9 @@ def explaining(garbled: str, clean: str) -> list[int]:
 class Restorer:
     """Learned transformations, character pairs, word counts and lost words; picklable and bounded."""
 
+    #: Lost words too rare to be broadcast (form, back); stays in the driver.
+    rare: DataFrame | None = None
+
     def __init__(self, families: list[int], pairs: dict[str, int], words: dict[str, int], lost: dict[str, str]):
         self.families, self.pairs, self.words, self.lost = families, pairs, words, lost
         self._start()
@@ -309,19 +312,69 @@ def learn(df: DataFrame, texts: list[str]) -> Restorer:
     pairs = staged(sums(words, "pair STRING", pair_counts), "character-pairs")
     total = pairs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     kept = pairs.where(F.col("n") >= LEAST_SHARE * total).collect()  # at most 1/LEAST_SHARE rows
-    lost = twins.where("kind = 'w'").where(F.col("unit").contains(_LOST) & ~F.col("clean").contains(_LOST)).where(F.col("n") >= LEAST_SHARE * total)
-    mapped = {}
-    for r in lost.select("unit", "clean").collect():  # at most 1/LEAST_SHARE rows
-        if [p for p, _ in runs(r["unit"])] == [p for p, _ in runs(r["clean"])]:
-            mapped[r["unit"].lower()] = r["clean"].lower()
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            unit, clean, n = (batch.column(c).to_pylist() for c in range(3))
+            kept = [(u.lower(), c.lower(), k) for u, c, k in zip(unit, clean, n) if [p for p, _ in runs(u)] == [p for p, _ in runs(c)]]
+            form, back, many = zip(*kept) if kept else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(form, type=pa.string()), pa.array(back, type=pa.string()), pa.array(many, type=pa.int64())], names=["form", "back", "n"])
+
+    lost = twins.where("kind = 'w'").where(F.col("unit").contains(_LOST) & ~F.col("clean").contains(_LOST)).select("unit", "clean", "n")
+    per_form = lost.mapInArrow(alike, "form STRING, back STRING, n BIGINT").groupBy("form").agg(F.max_by("back", F.struct("n", "back")).alias("back"), F.max("n").alias("n"))
+    forms = staged(per_form, "lost-words")
+    mapped = {r["form"]: r["back"] for r in forms.where(F.col("n") >= LEAST_SHARE * total).collect()}  # at most 1/LEAST_SHARE rows
     n_words = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     common = words.where((F.col("n") >= LEAST_SHARE * n_words) & (F.col("n") > 1)).collect()  # at most 1/LEAST_SHARE rows
-    return Restorer(chosen, {r["pair"]: r["n"] for r in kept}, {r["unit"]: r["n"] for r in common}, mapped)
+    learned = Restorer(chosen, {r["pair"]: r["n"] for r in kept}, {r["unit"]: r["n"] for r in common}, mapped)
+    learned.rare = forms.where(F.col("n") < LEAST_SHARE * total).select("form", "back")
+    return learned
 
 
 def restore(df: DataFrame, key: str, texts: list[str], restorer: Restorer | None = None) -> DataFrame:
     """(key, field_name, n_lines, transformation, restored) of each garbled value of the columns ``texts``."""
-    shared = df.sparkSession.sparkContext.broadcast(restorer or learn(df, texts))
+    restorer = restorer or learn(df, texts)
+    found = garbled_values(df, key, texts, restorer)
+    return found if restorer.rare is None else restore_rare(staged(found, "restored"), restorer.rare)
+
+
+def restore_rare(found: DataFrame, rare: DataFrame) -> DataFrame:
+    """``found`` with lost words that are not broadcast restored by a shuffled join of the affected texts' words with ``rare``."""
+    open_ = F.contains(F.col("restored"), F.lit(_LOST))
+    affected = found.where(open_).withColumns({"_h": F.xxhash64("restored"), "_g": F.xxhash64(F.lit(7), "restored")})
+
+    def forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, form = [], []
+            for k, text in enumerate(batch.column(2).to_pylist()):
+                for f in {bare(w).lower() for line in text.split("\n") for w in line.split(" ") if _LOST in w}:
+                    at.append(k), form.append(f)
+            rows = pa.array(at, type=pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(form, type=pa.string())], names=["_h", "_g", "form"])
+
+    words = affected.select("_h", "_g", "restored").mapInArrow(forms, "_h BIGINT, _g BIGINT, form STRING").distinct()
+    known = words.join(rare.hint("shuffle_merge"), "form").groupBy("_h", "_g").agg(F.collect_list("form").alias("_forms"), F.collect_list("back").alias("_backs"))
+    joined = affected.join(known, ["_h", "_g"], "left").select(*found.columns, "_forms", "_backs")
+    at = found.columns.index("restored")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_columns - 2
+            out = []
+            for text, own, backs in zip(*(batch.column(c).to_pylist() for c in (at, n, n + 1))):
+                if own:
+                    fix = Restorer([], {}, {}, dict(zip(own, backs)))
+                    text = "\n".join(" ".join(fix._found(w) if _LOST in w else w for w in line.split(" ")) for line in text.split("\n"))
+                out.append(text)
+            columns = [pa.array(out, type=pa.string()) if c == at else batch.column(c) for c in range(n)]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:n])
+
+    return found.where(~open_).unionByName(joined.mapInArrow(run, found.schema))
+
+
+def garbled_values(df: DataFrame, key: str, texts: list[str], restorer: Restorer) -> DataFrame:
+    """As :func:`restore`, but with only the broadcast lost words restored."""
+    shared = df.sparkSession.sparkContext.broadcast(restorer)
     schema = T.StructType([T.StructField(key, df.schema[key].dataType), *T.StructType.fromDDL("field_name STRING, n_lines INT, transformation STRING, restored STRING").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -73,7 +73,8 @@ def p3_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Garbled values of content and title."""
-    return p3_restored(spark, sf_dir).select("id_long", "field_name")
+    pages = table(spark, sf_dir, "mementos")
+    return garbled.garbled_values(pages, "id_long", ["content", "title"], garbled.learn(pages, ["content", "title"])).select("id_long", "field_name")
 
 
 def p5_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
