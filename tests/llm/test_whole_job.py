@@ -73,3 +73,11 @@ def test_rare_lost_words(spark, monkeypatch):
     df = spark.createDataFrame(rows, "id bigint, content string, title string")
     fixed = {(r["id"], r["field_name"]): (r["restored"], r["n_lines"]) for r in garbled.restore(df, "id", ["content", "title"]).collect()}
     assert fixed == {(900, "content"): ("El Niño añadió un jardín\n\nplain", 1), (901, "content"): ("Qx�zt alone", 1)}
+
+
+def test_long_garbled_footer(spark, tmp_path):
+    """p2: a garbled template line is found at any length."""
+    footer = "Utilizamos información básica según nuestra política. La protección también será más rápida aquí. Los términos están allí con atención pública. El teléfono del público está en la última página. Jamás pedirá códigos según nuestra declaración."
+    assert len(footer) < boilerplate.LONG_LINE < len(bad(footer))
+    spark.createDataFrame(pages(footer), PAGES).coalesce(1).write.parquet(f"{tmp_path}/mementos.parquet")
+    assert sorted(tuple(r) for r in queries.p2_found(spark, str(tmp_path)).collect()) == [(k, 2) for k in range(24)]

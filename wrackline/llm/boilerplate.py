@@ -171,7 +171,7 @@ class Wrapper:
         """(lines, garbled ones restored; label of each line)."""
         lines = text.split("\n")
         if self.restorer and not text.isascii():
-            lines = [line if len(line) > LONG_LINE or line.isascii() or not (fixed := self.restorer.restore_line(line)) else fixed[0] for line in lines]
+            lines = [line if line.isascii() or not (fixed := self.restorer.restore_line(line)) else fixed[0] for line in lines]
             if title and not title.isascii() and (fixed := self.restorer.restore(title)):
                 title = fixed[0]
         name = flat(title or "")
