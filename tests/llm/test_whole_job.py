@@ -81,3 +81,17 @@ def test_long_garbled_footer(spark, tmp_path):
     assert len(footer) < boilerplate.LONG_LINE < len(bad(footer))
     spark.createDataFrame(pages(footer), PAGES).coalesce(1).write.parquet(f"{tmp_path}/mementos.parquet")
     assert sorted(tuple(r) for r in queries.p2_found(spark, str(tmp_path)).collect()) == [(k, 2) for k in range(24)]
+
+
+def test_similarity_over_texts(spark, tmp_path):
+    """Fuzzy hashes, near-duplicates, shingles and n-grams are taken over whole texts of documents."""
+    from wrackline.plans.capture_queries import QUERIES
+
+    base = " ".join(f"word{k * k % 997} stands in line {k}." for k in range(150))
+    texts = [(50, base), (51, base + " One more sentence."), (52, " ".join(f"other {k * 7 % 89} thing" for k in range(150))), (53, None), (54, "ab cd")]
+    spark.createDataFrame(texts, "doc_id bigint, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {name: QUERIES[name](spark, str(tmp_path)).collect() for name in ("text_fuzzy_hashes", "similar_texts", "text_shingles", "text_ngrams")}
+    assert {r["doc_id"] for r in got["text_fuzzy_hashes"]} == {50, 51, 52, 54}
+    assert [(r["query"], r["doc_id"]) for r in got["similar_texts"]] == [(50, 51)]
+    assert {r["doc_id"]: r["shingles"] for r in got["text_shingles"]}[54] == ["ab cd"]
+    assert {r["doc_id"]: r["grams"] for r in got["text_ngrams"]}[54] == sorted({"ab cd"[i : i + n] for n in range(2, 6) for i in range(6 - n)})

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wrackline.functions import content_types, dates, payload, text, urls
 from wrackline.operators import annotate, captures, documents, filters, jobs, names, nearest, search
-from wrackline.session import table
+from wrackline.session import staged, table
 from wrackline.sinks import writers
 
 QUERIES = {}
@@ -401,6 +401,32 @@ def fuzzy_hashes(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "mementos").where("title IS NOT NULL").select("id_long", h.alias("h")).select("id_long", "h.block_size", "h.hash", "h.hash_double")
 
 
+@query()
+def text_fuzzy_hashes(spark: SparkSession, d: str) -> DataFrame:
+    """Fuzzy hash of the whole text of every document."""
+    h = payload.fuzzy_hash(F.col("text"))
+    return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", h.alias("h")).select("doc_id", "h.block_size", "h.hash", "h.hash_double")
+
+
+@query()
+def similar_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Documents whose fuzzy hash is similar to that of another one with an id divisible by 50."""
+    hashes = staged(text_fuzzy_hashes(spark, d).select("doc_id", "hash"), "fuzzy-hashes")
+    return search.similar_hashes(hashes, "doc_id", "hash", hashes.where(F.col("doc_id") % 50 == 0)).where(F.col("query") != F.col("doc_id"))
+
+
+@query()
+def text_shingles(spark: SparkSession, d: str) -> DataFrame:
+    """Runs of two and three words of the text of every document."""
+    return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", text.shingles(text.tokens(F.col("text")), 2, 3).alias("shingles"))
+
+
+@query()
+def text_ngrams(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct substrings of two to five characters of the text of every document."""
+    return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.sort_array(F.array_distinct(text.char_ngrams(F.col("text")))).alias("grams"))
+
+
 # --- payloads (C1-C21, X2-X8) ----------------------------------------------------------------------------
 
 
