@@ -165,26 +165,59 @@ def site(n, host):
 def test_wrapper_induction(spark):
     pages = [p for h in ("alpha.test", "betas.test", "gamma.test", "delta.test") for p in site(6, h)]
     df = spark.createDataFrame([(k, *p) for k, p in enumerate(pages)] + [(99, None, None, None, None, None)], "id bigint, url string, host string, domain string, content string, title string").withColumn("h", F.lit(1))
-    items = boilerplate.induce(df, "url", "host", "domain", "content", "title")
+    items, own = boilerplate.induce(df, "url", "host", "domain", "content", "title")
     assert {"home", "news", "contact", "most read", "all rights reserved"} <= set(items)
     wrapper = boilerplate.Wrapper(items)
     got = {}
     for r in boilerplate.boilerplate_lines(df, "id", wrapper).collect():
         got.setdefault(r["id"], []).append(r["line_no"])
     assert set(got) == set(range(24)) and all(sorted(v) == [1, 2, 6, 7, 8, 9] for v in got.values())
-    assert boilerplate.induce(df.limit(0), "url", "host", "domain", "content", "title") == {}
+    assert boilerplate.induce(df.limit(0), "url", "host", "domain", "content", "title")[0] == {}
+    assert rows(boilerplate.bodies(df.where("id = 0"), "id", wrapper)) == [(0, "\n".join(pages[0][3].split("\n")[2:5]))]
+
+
+def test_menu_of_one_host(spark, monkeypatch):
+    """A menu and footer that stand on one host alone are its own template; the byline of its only author is not."""
+    texts = [f"Zork | Blip | Quux\nStory {chr(97 + i)}{chr(97 + i % 7)}\nBy Jane Roe\nThe council met number {chr(97 + i % 26)}{chr(97 + i // 26)} in the hall.\nImprint of the zork office" for i in range(40)]
+    df = spark.createDataFrame([(i, f"http://one.test/{i}", "one.test", "one.test", t, None) for i, t in enumerate(texts)], "id bigint, url string, host string, domain string, content string, title string")
+    want = sorted((i, k) for i in range(40) for k in (1, 5))
+    assert rows(boilerplate.boilerplate_lines(df, "id", boilerplate.wrapper_for(df))) == want
+    more = df.unionByName(spark.createDataFrame([(100 + k, *p) for k, p in enumerate(p for h in ("alpha.test", "betas.test", "gamma.test") for p in site(6, h))], df.schema))
+    whole = rows(boilerplate.boilerplate_lines(more, "id", boilerplate.wrapper_for(more)))
+    monkeypatch.setattr(boilerplate, "MAX_WRAPPER", 0)
+    assert rows(boilerplate.boilerplate_lines(more, "id", boilerplate.wrapper_for(more))) == whole and set(want) < set(whole)
+
+
+def share(lines, labels=None, model=None):
+    return spam.rate(*spam.observe(lines, labels or [0] * len(lines)), model)[3]
 
 
 def test_spam_labels():
     prose = ["The council met in the town hall and talked about the new bridge for a long time."] * 3
-    assert spam.rate(prose, [0, 0, 0])[3] == 0
-    tags = ["cheap shoes " * 20, "cheap shoes, loans, " * 12]
-    assert spam.rate(tags, [0, 0])[3] == 1
-    assert spam.rate(["http://a.example/1", "http://b.example/2", "http://c.example/3", "www.d.test"], [0] * 4)[3] == 1
-    assert spam.rate(["#CheapShoes #Loans #Deals #Flights"], [0])[3] == 1
+    assert share(prose) == 0
+    assert share(["cheap shoes " * 20, "cheap shoes, loans, " * 12]) == 1
+    assert share(["http://a.example/1", "http://b.example/2", "http://c.example/3", "www.d.test"]) == 1
+    assert share(["#CheapShoes #Loans #Deals #Flights"]) == 1
     catalogue = ["The museum shows four old bowls that a farmer found near the river.", "Lunholt, 14 cm, 46 g, no. 2193", "Vordra, 114 cm, 440 g, no. 3469", "All of them came from one small workshop in the next valley, as the marks tell."]
-    assert spam.rate(catalogue, [0] * 4)[3] < 0.5
-    assert spam.rate([""], [4]) == (0, 0, 0, 0.0)
+    assert share(catalogue) < 0.5
+    assert spam.rate(*spam.observe([""], [4])) == (0, 0, 0, 0.0)
+    # one long line of keywords between prose lines
+    assert share([prose[0], "loan offers here, " * 40, prose[0]]) > 0.5
+
+
+def test_spam_model_is_estimated(spark):
+    """Baum-Welch: likelier with every round, the same from blocks of any size, and states keep their meaning."""
+    pages = [("TPPPPM", "122311"), ("MMTPPM", "111211"), ("MKKKKM", "199991"), ("MSSSSS", "111111"), ("P", "9"), ("UUUU", "1111")] * 5
+    model, last = spam.Model(), None
+    for _ in range(4):
+        counts = model.expected(pages, [1] * len(pages))
+        assert abs(counts[:4].sum() - len(pages)) < 1e-6
+        assert abs(counts[20:].sum() - sum(int(c) for _, w in pages for c in w)) < 1e-6
+        model = model.refitted(counts)
+    df = spark.createDataFrame([(s, w, 5) for s, w in dict.fromkeys(pages)], "symbols string, steps string, n bigint").repartition(3)
+    fitted = spam.estimate(df)
+    assert fitted.viterbi("TPPMKK", [1, 2, 2, 1, 3, 3]) == [0, 0, 0, 3, 2, 2]
+    assert fitted.emit[2][spam.SYMBOLS.index("K")] > spam.EMIT[2][spam.SYMBOLS.index("K")]
 
 
 # --- encodings and cuts -----------------------------------------------------------------

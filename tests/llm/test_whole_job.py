@@ -78,11 +78,41 @@ def test_rare_lost_words(spark, monkeypatch):
 def test_long_garbled_footer(spark, tmp_path):
     """p2: a garbled template line is found at any length."""
     footer = "Utilizamos información básica según nuestra política. La protección también será más rápida aquí. Los términos están allí con atención pública. El teléfono del público está en la última página. Jamás pedirá códigos según nuestra declaración."
-    assert len(footer) < boilerplate.LONG_LINE < len(bad(footer))
+    footer = footer + " " + footer.replace("Utilizamos", "También utilizamos")
+    assert len(bad(footer)) > 500
     spark.createDataFrame(pages(footer), PAGES).coalesce(1).write.parquet(f"{tmp_path}/mementos.parquet")
     assert sorted(tuple(r) for r in queries.p2_found(spark, str(tmp_path)).collect()) == [(k, 2) for k in range(24)]
 
 
+def test_units_with_twins_are_decoded_too(spark):
+    """p3: a unit is turned back by every family, also where its ASCII letters could have given it a twin."""
+    word = "преприятие"
+    wrong = "abcd" + word.encode("cp1251").decode("cp1252")
+    found = {(garbled.FAMILIES[f], text) for _, f, text in garbled.Decoder(garbled.np.array(sorted({ord(c) for c in word}))).readings(["plain", wrong, ""])}
+    assert found >= {(("cp1252", "cp1251"), "abcd" + word)} and all("plain" not in t for _, t in found)
+
+
+def test_decoder_equals_one_by_one():
+    """The vectorised decoding gives what turn_back gives, for known characters."""
+    units = ["été", "Ã©tÃ©", "ñandú", "дом", "äîì", "日本", "æ—¥æœ¬", "“x”", "a\x81b", "ÉCOLE", "naïve…", "", "😀é"]
+    known = sorted({ord(c) for u in units for c in u} | set(range(0xA0, 0x180)) | set(range(0x400, 0x460)))
+    got = set(garbled.Decoder(garbled.np.array(known)).readings(units))
+    want = set()
+    for k, u in enumerate(units):
+        for f, family in enumerate(garbled.FAMILIES):
+            back = garbled.turn_back(u, family)
+            if back is not None and back != u and not back.isascii() and all(ord(c) < 128 or ord(c) in known for c in back):
+                want.add((k, f, back))
+    assert got == want
+
+
+def test_cover(spark):
+    """Families are chosen by all sets of explaining families, however many there are."""
+    sets = [([1, 2], 5), ([2, 3], 4), ([1], 2), ([4], 2), ([5, 6], 3)]
+    assert garbled.cover(spark.createDataFrame(sets, "families array<int>, n bigint")) == [2, 5]
+    assert garbled.cover(spark.createDataFrame([], "families array<int>, n bigint")) == []
+
+
 def test_similarity_over_texts(spark, tmp_path):
     """Fuzzy hashes, near-duplicates, shingles and n-grams are taken over whole texts of documents."""
     from wrackline.plans.capture_queries import QUERIES

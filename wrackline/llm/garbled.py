@@ -29,8 +29,11 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from operator import add
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +45,9 @@ from wrackline.session import staged
 READ_AS = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1250", "iso8859-2", "cp1251", "koi8-r", "cp866", "iso8859-5")
 TRULY = ("utf-8", "cp1252", "cp1250", "iso8859-2", "cp1251", "koi8-r", "cp866", "iso8859-5", "mac_roman", "cp437", "cp850", "cp932", "euc-jp")
 FAMILIES = tuple((w, r) for w in READ_AS for r in TRULY if w != r and {w, r} != {"cp1252", "latin-1"}) + (("cp932", "utf-8"), ("euc-jp", "utf-8"))
+_NUMBER = {f: k for k, f in enumerate(FAMILIES)}
+#: Encodings of several bytes a character; encodings whose undefined bytes may stand as C1 controls.
+_WIDE, _WITH_C1 = ("utf-8", "cp932", "euc-jp"), ("cp1252", "cp1250", "cp1251")
 MIN_SUPPORT = 3
 #: A clean twin is at least so many times as frequent as the garbled unit.
 MIN_RATIO = 5
@@ -53,6 +59,7 @@ MIN_GAIN, MIN_GAIN_WORD = 3.0, 1.5
 _EDGE = "“”„«»‘’\"'()[]{}.,;:!?…"
 _RUN = re.compile(r"[^\x00-\x7f]+")
 _LOST = "�"
+_C1 = re.compile(r"[\x80-\x9f]").search
 
 
 def encode_as(text: str, codec: str) -> bytes | None:
@@ -60,7 +67,7 @@ def encode_as(text: str, codec: str) -> bytes | None:
     try:
         return text.encode(codec)
     except UnicodeEncodeError:
-        if codec not in ("cp1252", "cp1250", "cp1251"):
+        if codec not in _WITH_C1 or not _C1(text):
             return None
     out = bytearray()
     for c in text:
@@ -73,9 +80,11 @@ def encode_as(text: str, codec: str) -> bytes | None:
     return bytes(out)
 
 
-def turn_back(text: str, family: tuple[str, str], cut: bool = False) -> str | None:
-    """``text`` read again with the true encoding; None if it cannot be. ``cut`` drops an incomplete last character of UTF-8."""
-    raw = encode_as(text, family[0])
+def turn_back(text: str, family: tuple[str, str], cut: bool = False, raws: dict[str, bytes | None] | None = None) -> str | None:
+    """``text`` read again with the true encoding; None if it cannot be. ``cut`` drops an incomplete last character of UTF-8; ``raws`` keeps its bytes by codec."""
+    raw = encode_as(text, family[0]) if raws is None or family[0] not in raws else raws[family[0]]
+    if raws is not None:
+        raws[family[0]] = raw
     if raw is None:
         return None
     try:
@@ -93,10 +102,14 @@ def bare(word: str) -> str:
     return word.strip(_EDGE)
 
 
+def pair_of(pair: str) -> str:
+    """A character pair ignoring case, but for a mark where a capital follows a small letter."""
+    return pair.lower() + ("^" if pair[0].islower() and pair[1].isupper() else "")
+
+
 def pairs_of(word: str) -> list[str]:
-    """Character pairs with a non-ASCII member, ignoring case but for a mark where a capital follows a small letter; edges are blanks."""
-    w = f" {word} "
-    return [(a + b).lower() + ("^" if a.islower() and b.isupper() else "") for a, b in zip(w, w[1:]) if not (a.isascii() and b.isascii())]
+    """Character pairs with a non-ASCII member; edges are blanks."""
+    return [pair_of(p) for p in map(add, f" {word}", f"{word} ") if not p.isascii()]
 
 
 def stripped(unit: str) -> str:
@@ -138,6 +151,10 @@ class Restorer:
 
     def _start(self) -> None:
         self.memo: dict[tuple[str, bool], dict[int, tuple[str, float, int]]] = {}
+        self.slot = {k: i for i, k in enumerate([*self.families, *(k + 1000 for k in self.families)])}
+        self.logs: dict[str, float] = {}
+        self.rows: dict[str, int] = {}
+        self.gains = np.empty((0, max(1, len(self.slot))), dtype=np.float32)
         self.base = math.log(max(1, sum(self.pairs.values())))
 
     def __getstate__(self):
@@ -148,8 +165,15 @@ class Restorer:
         self._start()
 
     def likely(self, word: str) -> float:
-        get = self.pairs.get
-        return sum(math.log(get(p, 0) + 0.2) - self.base for p in pairs_of(word)) + math.log(self.words.get(word, 0) + 1)
+        total, known = 0.0, self.logs
+        for pair in map(add, f" {word}", f"{word} "):
+            value = known.get(pair)
+            if value is None:
+                if len(known) > 200_000:
+                    known.clear()
+                value = known[pair] = 0.0 if pair.isascii() else math.log(self.pairs.get(pair_of(pair), 0) + 0.2) - self.base
+            total += value
+        return total + math.log(self.words.get(word, 0) + 1)
 
     def readings(self, word: str, cut: bool) -> dict[int, tuple[str, float, int]]:
         """family -> (word turned back, what that gains, 1 if it changed); twice as family + 1000."""
@@ -158,8 +182,9 @@ class Restorer:
             if len(self.memo) > 200_000:
                 self.memo.clear()
             known, as_is = {}, self.likely(word)
+            raws: dict[str, bytes | None] = {}
             for k in self.families:
-                back = turn_back(word, FAMILIES[k])
+                back = turn_back(word, FAMILIES[k], raws=raws)
                 if back is None:
                     if cut and FAMILIES[k][1] == "utf-8" and (back := turn_back(word, FAMILIES[k], True)) is not None:
                         known[k] = (back, 0.0, 0)  # no evidence by itself
@@ -177,6 +202,45 @@ class Restorer:
                 self.memo[(word, cut)] = known
         return known
 
+    def _gain_rows(self, words: list[str]) -> np.ndarray:
+        """Row of each word in ``gains``: what it gains by each transformation, -inf where it cannot be turned back."""
+        if len(self.rows) > 200_000:
+            self.rows, self.gains = {}, self.gains[:0]
+        new = [w for w in words if w not in self.rows]
+        if new:
+            fresh = np.full((len(new), self.gains.shape[1]), -np.inf, dtype=np.float32)
+            for row, w in zip(fresh, new):
+                for k, (_, gain, _) in self.readings(w, False).items():
+                    row[self.slot[k]] = gain
+            self.rows.update(zip(new, range(len(self.gains), len(self.gains) + len(new))))
+            self.gains = np.concatenate([self.gains, fresh])
+        return np.fromiter((self.rows[w] for w in words), dtype=np.int64, count=len(words))
+
+    def restore_lines(self, lines: pa.Array) -> dict[int, tuple[str, str]]:
+        """number -> :meth:`restore_line` of the garbled ones of ``lines``. Lines whose words gain too little in sum by every transformation are not tried."""
+        out = {}
+        for start in range(0, len(lines), 20_000):
+            part = lines.slice(start, 20_000)
+            split = pc.split_pattern(part, " ")
+            words = split.flatten()
+            odd = pc.invert(pc.string_is_ascii(words))
+            owner = np.repeat(np.arange(len(part)), np.diff(split.offsets.to_numpy()))[odd.to_numpy(zero_copy_only=False)]
+            tried = set(np.flatnonzero(pc.match_substring_regex(part, f"{_LOST}|ï¿½").to_numpy(zero_copy_only=False)).tolist())
+            if len(owner):
+                coded = words.filter(odd).dictionary_encode()
+                gains = self.gains_of(coded.dictionary.to_pylist(), coded.indices.to_numpy())
+                starts = np.flatnonzero(np.diff(owner, prepend=-1))
+                best = np.add.reduceat(gains, starts, axis=0).max(axis=1)
+                tried.update(owner[starts[best >= MIN_GAIN - 0.01]].tolist())
+            for k in sorted(tried):
+                if fixed := self.restore_line(part[k].as_py()):
+                    out[start + k] = fixed
+        return out
+
+    def gains_of(self, words: list[str], index: np.ndarray) -> np.ndarray:
+        rows = self._gain_rows(words)  # may grow the table
+        return self.gains[rows[index]]
+
     def restore_line(self, line: str, cut: bool = False) -> tuple[str, str] | None:
         """(restored line, "read as>true encoding") of a garbled line, None for any other."""
         if line.isascii():
@@ -212,38 +276,142 @@ class Restorer:
             back = back[:1].upper() + back[1:]
         return word.replace(core, back)
 
+    def restore_batch(self, texts: list[str]) -> list[tuple[str, int, str] | None]:
+        """:meth:`restore` of many texts with non-ASCII characters."""
+        if not texts:
+            return []
+        split = pc.split_pattern(pa.array(texts, type=pa.large_string()), "\n")
+        ends = split.offsets.to_numpy()[1:]
+        lines = split.flatten()
+        odd = ~pc.string_is_ascii(lines).to_numpy(zero_copy_only=False)
+        odd[ends - 1] = False
+        numbers = np.flatnonzero(odd)
+        coded = lines.take(pa.array(numbers)).dictionary_encode()
+        fixed = self.restore_lines(coded.dictionary)
+        code = coded.indices.to_numpy()
+        hit = np.isin(code, np.fromiter(fixed, dtype=code.dtype, count=len(fixed)))
+        changed: dict[int, dict[int, tuple[str, str]]] = {}
+        for line, c in zip(numbers[hit].tolist(), code[hit].tolist()):
+            changed.setdefault(int(np.searchsorted(ends, line, side="right")), {})[line] = fixed[c]
+        out: list[tuple[str, int, str] | None] = []
+        for k, text in enumerate(texts):
+            own = changed.get(k, {})
+            if done := self.restore_line(text[text.rfind("\n") + 1 :], True):
+                own[int(ends[k]) - 1] = done
+            if not own:
+                out.append(None)
+                continue
+            first = int(ends[k - 1]) if k else 0
+            parts = text.split("\n")
+            for line, (back, _) in own.items():
+                parts[line - first] = back
+            out.append(("\n".join(parts), len(own), ", ".join(sorted({how for _, how in own.values()}))))
+        return out
+
     def restore(self, text: str | None) -> tuple[str, int, str] | None:
         """(restored text, number of garbled lines, transformations) of a text with garbled lines."""
         if not text or text.isascii():
             return None
-        out, how, n = text.split("\n"), set(), 0
-        last = len(out) - 1
-        for k, line in enumerate(out):
-            fixed = self.restore_line(line, k == last)
-            if fixed:
-                out[k] = fixed[0]
-                how.add(fixed[1])
-                n += 1
-        return ("\n".join(out), n, ", ".join(sorted(how))) if n else None
+        return self.restore_batch([text])[0]
 
 
 def units(df: DataFrame, texts: list[str]) -> DataFrame:
-    """(kind, unit, n): words with non-ASCII characters, and short lines of scripts without ASCII letters, with their counts."""
+    """(kind, unit, n): words with non-ASCII characters, and lines of scripts without ASCII letters that hold some, with their counts."""
 
-    def count(batch: pa.RecordBatch, into: Counter) -> None:
-        for column in batch.columns:
-            for text in column.to_pylist():
-                if not text or text.isascii():
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for column in batch.columns:
+                column = column.drop_null().cast(pa.large_string())
+                lines = pc.split_pattern(column.filter(pc.invert(pc.string_is_ascii(column))), "\n").flatten()
+                lines = lines.filter(pc.invert(pc.string_is_ascii(lines)))
+                split = pc.split_pattern(lines, " ")
+                words = split.flatten()
+                odd = pc.invert(pc.string_is_ascii(words))
+                owner = np.repeat(np.arange(len(lines)), np.diff(split.offsets.to_numpy()))[odd.to_numpy(zero_copy_only=False)]
+                words = words.filter(odd)
+                foreign = np.zeros(len(lines), dtype=bool)
+                foreign[owner[~pc.match_substring_regex(words, "[A-Za-z]").to_numpy(zero_copy_only=False)]] = True
+                foreign &= pc.count_substring_regex(lines, "[A-Za-z]").to_numpy() >= 6
+                whole = pc.utf8_trim_whitespace(pc.replace_substring_regex(lines.filter(pa.array(foreign)), r"\p{Nd}", "0"))
+                for kind, found in (("w", words), ("l", whole)):
+                    counts = pc.value_counts(found)
+                    yield pa.RecordBatch.from_arrays([pa.array([kind] * len(counts), type=pa.string()), counts.field(0).cast(pa.string()), counts.field(1)], names=["kind", "unit", "n"])
+
+    return df.select(*[F.col(t).cast("string") for t in texts]).mapInArrow(count, "kind STRING, unit STRING, n BIGINT").groupBy("kind", "unit").agg(F.sum("n").alias("n"))
+
+
+class Decoder:
+    """Turns many units back by all families at once; only what can be a known word comes out."""
+
+    def __init__(self, known: np.ndarray):
+        """``known``: code points that known words consist of."""
+        self.known = np.zeros(0x110000, dtype=bool)
+        self.known[known] = True
+        self.known[:128] = True
+        self.encode, self.decode = {}, {}
+        for w in READ_AS:
+            table = np.full(0x10000, -1, dtype=np.int16)
+            for byte in range(256):
+                table[ord(bytes([byte]).decode(w, "replace"))] = byte
+            table[0xFFFD] = -1
+            if w in _WITH_C1:
+                for c in range(0x80, 0xA0):
+                    if table[c] < 0:
+                        table[c] = c
+            self.encode[w] = table
+        for r in TRULY:
+            if r not in _WIDE:
+                out = np.array([ord(bytes([byte]).decode(r, "replace")) for byte in range(256)], dtype=np.int32)
+                self.decode[r] = np.where((out == 0xFFFD) | ~self.known[out], -1, out)
+
+    def readings(self, units: list[str]) -> Iterator[tuple[int, int, str]]:
+        """(number of the unit, family, what it reads when turned back) for each family that changes it into known characters."""
+        units = ["\0" if u == "" else u for u in units]
+        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        ends = np.cumsum([len(u) for u in units])
+        starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+        for w in READ_AS:
+            raw = np.where(codes < 0x10000, self.encode[w][np.minimum(codes, 0xFFFF)], -1)
+            fits = np.flatnonzero(np.minimum.reduceat(raw, starts) >= 0)
+            if not len(fits):
+                continue
+            for r in TRULY:
+                family = _NUMBER.get((w, r))
+                if family is None:
                     continue
-                for line in text.split("\n"):
-                    if line.isascii():
-                        continue
-                    words = words_in(line)
-                    into.update(("w", w) for w in words)
-                    if len(line) <= 400 and sum(c.isascii() and c.isalpha() for c in line) >= 6 and any(not any(c.isascii() and c.isalpha() for c in w) for w in words):
-                        into[("l", re.sub(r"\d", "0", line.strip()))] += 1
-
-    return sums(df.select(*[F.col(t).cast("string") for t in texts]), "kind STRING, unit STRING", count)
+                if r in self.decode:
+                    back = np.where(raw >= 0, self.decode[r][np.maximum(raw, 0)], -1)
+                    changed = np.maximum.reduceat((back != codes) & (back >= 128), starts)
+                    for k in fits[(np.minimum.reduceat(back, starts)[fits] >= 0) & changed[fits]].tolist():
+                        yield k, family, back[starts[k] : ends[k]].astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass")
+                    continue
+                high = raw >= 0x80
+                after = np.concatenate([raw[1:], [0]])
+                after[ends - 1] = 0
+                if r == "utf-8":
+                    bad = high & ~((raw >= 0xC2) & (raw <= 0xF4) | (raw <= 0xBF)) | (raw >= 0xC2) & ~((after >= 0x80) & (after <= 0xBF))
+                elif r == "euc-jp":
+                    before = np.concatenate([[0], raw[:-1]])
+                    before[starts] = 0
+                    bad = high & (after < 0x80) & (before < 0x80)
+                else:
+                    bad = np.zeros(len(raw), dtype=bool)
+                may = fits[~np.maximum.reduceat(bad, starts)[fits]]
+                for k in may.tolist():
+                    if (text := self._wide(raw[starts[k] : ends[k]].astype(np.uint8).tobytes(), r)) is not None and text != units[k]:
+                        yield k, family, text
+        for family, (w, r) in enumerate(FAMILIES):
+            if w in _WIDE:
+                for k, u in enumerate(units):
+                    if (raw := encode_as(u, w)) is not None and (text := self._wide(raw, r)) is not None and text != u:
+                        yield k, family, text
+
+    def _wide(self, raw: bytes, codec: str) -> str | None:
+        try:
+            text = raw.decode(codec)
+        except UnicodeDecodeError:
+            return None
+        return None if text.isascii() or not all(self.known[ord(c)] for c in text) else text
 
 
 def learn(df: DataFrame, texts: list[str]) -> Restorer:
@@ -252,11 +420,12 @@ def learn(df: DataFrame, texts: list[str]) -> Restorer:
 
     def trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([bare(u) for u in batch.column(1).to_pylist()]), batch.column(2)], names=["kind", "unit", "n"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pc.utf8_trim(batch.column(1), _EDGE), batch.column(2)], names=["kind", "unit", "n"])
 
     def shape(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array([stripped(u) for u in batch.column(1).to_pylist()])], names=["kind", "unit", "n", "form"])
+            form = pc.utf8_lower(pc.replace_substring_regex(pc.replace_substring_regex(batch.column(1), "[^\\x00-\\x7f]+", ""), "[0-9]", "0"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, form], names=["kind", "unit", "n", "form"])
 
     # near-twins: the most frequent unit of each stripped form, joined with the rare ones
     core = table.mapInArrow(trim, "kind STRING, unit STRING, n BIGINT").groupBy("kind", "unit").agg(F.sum("n").alias("n"))
@@ -272,37 +441,29 @@ def learn(df: DataFrame, texts: list[str]) -> Restorer:
 
     by_runs = twins.select("unit", "clean").mapInArrow(explain, "families ARRAY<INT>")
 
-    # units that only match after decoding
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    words = table.where("kind = 'w'").select("unit", "n")
+
+    # units that match after decoding; a known word has MIN_RATIO times their count, so at least MIN_RATIO
+    def characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            unit, n, family, back = [], [], [], []
-            for u, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if sum(x.isascii() and x.isalpha() for x in u) >= 3 and u[0].isascii():
-                    continue  # its stripped form has twins
-                for k, f in enumerate(FAMILIES):
-                    b = turn_back(u, f)
-                    if b is not None and b != u and not b.isascii() and len(b) >= 3:
-                        unit.append(u), n.append(c), family.append(k), back.append(b)
-            yield pa.RecordBatch.from_arrays([pa.array(unit, type=pa.string()), pa.array(n, type=pa.int64()), pa.array(family, type=pa.int32()), pa.array(back, type=pa.string())], names=["unit", "n", "family", "back"])
+            yield pa.RecordBatch.from_arrays([pa.array(sorted({ord(c) for u in batch.column(0).to_pylist() for c in u}), type=pa.int32())], names=["c"])
 
-    words = table.where("kind = 'w'").select("unit", "n")
-    decoded = words.mapInArrow(decode, "unit STRING, n BIGINT, family INT, back STRING")
-    known = words.select(F.col("unit").alias("back"), F.col("n").alias("n_clean"))
+    known_words = words.where(F.col("n") >= MIN_RATIO)
+    # at most as many rows as Unicode has characters
+    decoder = df.sparkSession.sparkContext.broadcast(Decoder(np.array([r["c"] for r in known_words.select("unit").mapInArrow(characters, "c INT").distinct().collect()], dtype=np.int64)))
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found = list(decoder.value.readings(batch.column(0).to_pylist()))
+                at, family, back = zip(*found) if found else ((), (), ())
+                rows = pa.array(at, type=pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(family, type=pa.int32()), pa.array(back, type=pa.string())], names=["unit", "n", "family", "back"])
+
+    decoded = words.mapInArrow(decode, "unit STRING, n BIGINT, family INT, back STRING").where("length(back) >= 3")
+    known = known_words.select(F.col("unit").alias("back"), F.col("n").alias("n_clean"))
     by_decoding = decoded.join(known, "back").where(F.col("n") * MIN_RATIO <= F.col("n_clean")).groupBy("unit").agg(F.sort_array(F.collect_set("family")).alias("families")).select("families")
-    # sets of explaining families: at most as many as there are distinct combinations of the fixed list
-    support = by_runs.unionByName(by_decoding).groupBy("families").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= 1).orderBy(F.desc("n"), "families").limit(10_000).collect()
-    left = {tuple(r["families"]): r["n"] for r in support}
-    chosen = []
-    while left:
-        votes: Counter = Counter()
-        for families, n in left.items():
-            for f in families:
-                votes[f] += n
-        best, n = max(votes.items(), key=lambda v: (v[1], -v[0]))
-        if n < MIN_SUPPORT:
-            break
-        chosen.append(best)
-        left = {f: n for f, n in left.items() if best not in f}
+    chosen = cover(staged(by_runs.unionByName(by_decoding).groupBy("families").agg(F.count(F.lit(1)).alias("n")), "explaining-families"))
 
     def pair_counts(batch: pa.RecordBatch, into: Counter) -> None:
         for u, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -331,6 +492,17 @@ def learn(df: DataFrame, texts: list[str]) -> Restorer:
     return learned
 
 
+def cover(support: DataFrame) -> list[int]:
+    """Families, best first, that each explain at least ``MIN_SUPPORT`` units that no better one explains; ``support`` has families and n."""
+    chosen: list[int] = []
+    while True:
+        left = support.where(~F.arrays_overlap("families", F.array(*[F.lit(c) for c in chosen]))) if chosen else support
+        best = left.select(F.explode("families").alias("f"), "n").groupBy("f").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "f").first()
+        if best is None or best["n"] < MIN_SUPPORT:
+            return chosen
+        chosen.append(best["f"])
+
+
 def restore(df: DataFrame, key: str, texts: list[str], restorer: Restorer | None = None) -> DataFrame:
     """(key, field_name, n_lines, transformation, restored) of each garbled value of the columns ``texts``."""
     restorer = restorer or learn(df, texts)
@@ -378,15 +550,15 @@ def garbled_values(df: DataFrame, key: str, texts: list[str], restorer: Restorer
     schema = T.StructType([T.StructField(key, df.schema[key].dataType), *T.StructType.fromDDL("field_name STRING, n_lines INT, transformation STRING, restored STRING").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fix = shared.value
+        fix: Restorer = shared.value
         for batch in batches:
             at, names, out = [], [], []
             for c, name in enumerate(texts, 1):
-                for k, text in enumerate(batch.column(c).to_pylist()):
-                    if text and not text.isascii():
-                        done = fix.restore(text)
-                        if done:
-                            at.append(k), names.append(name), out.append(done)
+                column = batch.column(c).to_pylist()
+                mixed = [k for k, text in enumerate(column) if text and not text.isascii()]
+                for k, done in zip(mixed, fix.restore_batch([column[k] for k in mixed])):
+                    if done:
+                        at.append(k), names.append(name), out.append(done)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(at, type=pa.int64())), pa.array(names, type=pa.string()), pa.array([o[1] for o in out], type=pa.int32()), pa.array([o[2] for o in out], type=pa.string()), pa.array([o[0] for o in out], type=pa.string())],
                 names=schema.names,

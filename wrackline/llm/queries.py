@@ -61,9 +61,9 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_body(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The main body of every memento's content."""
-    pages = table(spark, sf_dir, "mementos").select("id_long", "content")
-    return lines.without_lines(pages, "id_long", "content", p2_found(spark, sf_dir), "body").select("id_long", "body")
+    """The main body of every memento with content."""
+    pages = table(spark, sf_dir, "mementos")
+    return boilerplate.bodies(pages, "id_long", boilerplate.wrapper_for(pages, garbled.learn(pages, ["content", "title"])))
 
 
 def p3_restored(spark: SparkSession, sf_dir: str) -> DataFrame:

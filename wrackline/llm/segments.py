@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wrackline.llm import langid, spam
-from wrackline.llm.boilerplate import BODY, Wrapper, site_of
+from wrackline.llm.boilerplate import BODY, EMPTY, Wrapper, label_input, labelled
 
 #: Three-letter codes (ISO 639-2) of two-letter ones (ISO 639-1).
 CODES = {"eng": "en", "deu": "de", "ger": "de", "fra": "fr", "fre": "fr", "spa": "es", "por": "pt", "dan": "da", "pol": "pl", "rus": "ru", "jpn": "ja", "ita": "it", "nld": "nl", "dut": "nl", "swe": "sv", "nor": "no", "fin": "fi", "ces": "cs", "cze": "cs", "ukr": "uk", "zho": "zh", "chi": "zh", "kor": "ko"}
@@ -62,15 +62,17 @@ def _sentences(lines: list[str], labels: list[int]) -> list[tuple[int, str]]:
 
     Short lines before the first long one (bylines) get number 0: they are no full sentences.
     """
-    symbols, letters = spam.observe(lines, labels)
-    at = [k for k, label in enumerate(labels) if label != 4]
-    states = spam.viterbi(symbols) if any(s in "UHKSL" for s in symbols) else [0] * len(symbols)
-    size = [0, 0]
-    for s, state, n in zip(symbols, states, letters):
-        if s not in "TM":
-            size[state in (1, 2)] += n
-    if size[1] > size[0]:
-        return []
+    symbols, sizes = spam.observe(lines, labels)
+    at = [k for k, label in enumerate(labels) if label != EMPTY]
+    states = [0] * len(symbols)  # as without list symbols every line is prose or template
+    if any(s in "UHKSL" for s in symbols):
+        states = spam.Model().viterbi(symbols, spam.steps_of(sizes))
+        size = [0, 0]
+        for s, state, n in zip(symbols, states, sizes):
+            if s not in "TM":
+                size[state in (1, 2)] += n
+        if size[1] > size[0]:
+            return []
     out, begun = [], False
     for k, s, state in zip(at, symbols, states):
         if s == "P" and state in (0, 3) and labels[k] == BODY:
@@ -87,15 +89,13 @@ def page_segments(df: DataFrame, key: str, wrapper: Wrapper, model: langid.Langu
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, m = shared.value, shared_model.value
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                keys = batch.column(0).slice(start, 256)
-                domains, urls, texts, titles = (batch.column(c).slice(start, 256).to_pylist() for c in (1, 2, 3, 4))
+        for whole in batches:
+            for start in range(0, whole.num_rows, 2048):
+                batch = whole.slice(start, 2048)
                 page, line, text = [], [], []
-                for k, t in enumerate(texts):
-                    if t:
-                        for n, s in _sentences(*w.label(t, site_of(domains[k], urls[k]), titles[k])):
-                            page.append(k), line.append(n), text.append(s)
+                for k, lines, labels in labelled(batch, w):
+                    for n, s in _sentences(lines, labels):
+                        page.append(k), line.append(n), text.append(s)
                 scores, grams = m.score(*m.number([langid.words_of(s.lower()) for s in text]))
                 out: list[tuple] = []
                 if text:
@@ -106,9 +106,9 @@ def page_segments(df: DataFrame, key: str, wrapper: Wrapper, model: langid.Langu
                 columns = list(zip(*out)) if out else [[]] * 7
                 kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.float64()]
                 arrays = [pa.array(c, type=kind) for c, kind in zip(columns, kinds)]
-                yield pa.RecordBatch.from_arrays([keys.take(arrays[0]), *arrays[1:]], names=schema.names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(arrays[0]), *arrays[1:]], names=schema.names)
 
-    return df.where(F.col("content").isNotNull()).select(key, "domain", "url", "content", "title").mapInArrow(run, schema)
+    return label_input(df, key, wrapper).mapInArrow(run, schema)
 
 
 def _is_sentence(text: str) -> bool:

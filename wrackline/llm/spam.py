@@ -1,15 +1,22 @@
 """Pages of keywords, links or product tags instead of sentences.
 
 Method: each line of a page is labelled prose, link list, tag list or menu by a
-hidden Markov model, and a page is flagged by the share of its main text (by
-letters) that is link or tag list. A line is observed as one of a few symbols,
+hidden Markov model, and a page is flagged by the share of the words of its main
+text that are in link or tag lists. A line is observed as one of a few symbols,
 from its repeated words, separators, numbers, addresses and hashtags; lines of
-the page template (see :mod:`boilerplate`) are observed as template. Labels come
-from the Viterbi path, so that an odd line within prose stays prose and a run of
-list lines does not.
+the page template (see :mod:`boilerplate`) are observed as template. A long line
+counts as several observations of its symbol. Labels come from the Viterbi path,
+so that an odd short line within prose stays prose and a run of list lines does
+not.
+
+The model is estimated by Baum-Welch on all pages, from a prior that names the
+states: expected counts are summed over the distinct sequences of symbols, so a
+round reads one row for each of these. The prior counts as a fixed share of all
+observations, so that the result does not depend on the number of pages.
 
 Defined results: null and empty texts are no pages and get no row; a page
-without observed prose or list lines has share 0; repeated rows are rated each.
+without observed prose or list lines has share 0; repeated rows are rated each;
+a run of letters of a script without spaces counts as a word per two letters.
 """
 
 from __future__ import annotations
@@ -24,14 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wrackline.llm.boilerplate import BODY, EMPTY, Wrapper, site_of
+from wrackline.llm.boilerplate import BODY, EMPTY, Wrapper, label_input, labelled
+from wrackline.session import staged
 
 STATES = ("prose", "links", "tags", "menu")
 SYMBOLS = "PUHKSLTM"
-#: Model parameters: start, transition and emission probabilities (rows: states; columns of the last: symbols).
-START = np.log([0.45, 0.05, 0.05, 0.45])
-MOVE = np.log([[0.88, 0.02, 0.02, 0.08], [0.04, 0.88, 0.02, 0.06], [0.04, 0.02, 0.88, 0.06], [0.28, 0.04, 0.04, 0.64]])
-EMIT = np.log(
+#: The prior: start, transition and emission probabilities (rows: states; columns of the last: symbols).
+START = np.array([0.45, 0.05, 0.05, 0.45])
+MOVE = np.array([[0.88, 0.02, 0.02, 0.08], [0.04, 0.88, 0.02, 0.06], [0.04, 0.02, 0.88, 0.06], [0.28, 0.04, 0.04, 0.64]])
+EMIT = np.array(
     [
         [0.765, 0.005, 0.005, 0.005, 0.04, 0.02, 0.155, 0.005],
         [0.01, 0.62, 0.02, 0.05, 0.05, 0.19, 0.05, 0.01],
@@ -43,103 +51,212 @@ EMIT = np.log(
 REPEAT_SHARE, REPEAT_COUNT = 0.04, 4
 #: A line is of keywords if this share of its words is repeated.
 KEYWORD_SHARE = 0.5
-#: A page is flagged if this share of its main text is link or tag list.
+#: A page is flagged if this share of the words of its main text is in link or tag lists.
 FLAG_SHARE = 0.5
+#: So many words of a line are one observation, up to so many observations a line.
+STEP_WORDS, MAX_STEPS = 30, 9
+#: The prior's share of the observations; estimation ends if no probability moves further, or after so many rounds.
+PRIOR_SHARE, TOLERANCE, ROUNDS = 0.5, 0.005, 12
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
 _ADDRESS = re.compile(r"https?://\S+|www\.\S+")
 _TAG = re.compile(r"#\w+").findall
 _NUMBER = re.compile(r"(?<!\w)\d[\d.,]*(?!\w)").findall
-_BARS = re.compile(r"[|;/·•,]").findall
-_END = re.compile(r"[.!?。！？…][\"”»“«’')\]]*\s*$").search
+_BARS = "|;/·•,"
+_CLOSERS = "\"”»“«’')]"
+
+
+def ended(line: str) -> bool:
+    """Whether a line ends in a sentence mark, closing signs aside."""
+    return line.rstrip().rstrip(_CLOSERS)[-1:] in tuple(".!?。！？…")
 
 
 def symbol(line: str, words: list[str], repeated: set[str]) -> str:
     """What the model observes of a line of the main text."""
-    addresses = _ADDRESS.findall(line)
-    if addresses:
-        rest = len(_WORDS(_ADDRESS.sub(" ", line)))
-        if rest <= 4 * len(addresses) and not line.lstrip().startswith("["):
+    if "://" in line or "www." in line:
+        addresses = _ADDRESS.findall(line)
+        rest = len(_WORDS(_ADDRESS.sub(" ", line))) if addresses else 0
+        if addresses and rest <= 4 * len(addresses) and not line.lstrip().startswith("["):
             return "U"
-    tags = _TAG(line)
-    if len(tags) >= 3 and sum(map(len, tags)) > 0.5 * len(line):
-        return "H"
+    if "#" in line:
+        tags = _TAG(line)
+        if len(tags) >= 3 and sum(map(len, tags)) > 0.5 * len(line):
+            return "H"
     n = len(words)
-    if n >= 2 and sum(w in repeated for w in words) >= KEYWORD_SHARE * n:
-        bars = len(_BARS(line))
+    bars = sum(map(line.count, _BARS))
+    if n >= 2 and repeated and sum(map(repeated.__contains__, words)) >= KEYWORD_SHARE * n:
         return "K" if n >= 6 else "S" if bars >= 2 and len(_NUMBER(line)) >= 2 else "L" if bars else "T"
-    bars = len(_BARS(line))
-    if bars >= 2 and len(_NUMBER(line)) >= 2 and n <= 8:
+    if bars >= 2 and n <= 8 and len(_NUMBER(line)) >= 2:
         return "S"
-    if line.count("|") >= 2 and not _END(line):
+    end = ended(line)
+    if not end and line.count("|") >= 2:
         return "L"
-    return "P" if n >= 5 and (_END(line) or n >= 12) or _END(line) and len(line) >= 30 else "T"
+    return "P" if n >= 12 or end and (n >= 5 or len(line) >= 30) else "T"
+
+
+class Model:
+    """Start, transition and emission probabilities; picklable."""
+
+    def __init__(self, start: np.ndarray = START, move: np.ndarray = MOVE, emit: np.ndarray = EMIT):
+        self.start, self.move, self.emit = start, move, emit
+        self.logs = [np.log(np.maximum(x, 1e-12)) for x in (start, move, emit)]
+
+    def viterbi(self, symbols: str, steps: list[int]) -> list[int]:
+        """The likeliest states of a sequence of symbols, each observed ``steps`` times."""
+        start, move, emit = self.logs
+        seen = [SYMBOLS.index(s) for s in symbols]
+        score = start + emit[:, seen[0]] * steps[0]
+        back = []
+        for s, w in zip(seen[1:], steps[1:]):
+            step = score[:, None] + move
+            back.append(step.argmax(axis=0))
+            score = step.max(axis=0) + emit[:, s] * w
+        path = [int(score.argmax())]
+        for b in reversed(back):
+            path.append(int(b[path[-1]]))
+        return path[::-1]
+
+    def expected(self, sequences: list[tuple[str, str]], many: list[int]) -> np.ndarray:
+        """Expected counts (start; transitions; emissions, in one row) of sequences (symbols, steps as digits) that occur ``many`` times each."""
+        out = np.zeros(len(STATES) * (1 + len(STATES) + len(SYMBOLS)))
+        start, move, emit = out[:4], out[4:20].reshape(4, 4), out[20:].reshape(4, -1)
+        order = sorted(range(len(sequences)), key=lambda k: len(sequences[k][0]))
+        while order:  # blocks of sequences of like length and bounded size
+            n = 1
+            while n < len(order) and n < 2000 and (n + 1) * len(sequences[order[n]][0]) <= 200_000:
+                n += 1
+            part, order = order[:n], order[n:]
+            size = np.array([len(sequences[k][0]) for k in part])
+            top = int(size.max())
+            seen = np.array([[SYMBOLS.index(c) for c in sequences[k][0]] + [0] * (top - len(sequences[k][0])) for k in part])
+            steps = np.array([[int(c) for c in sequences[k][1]] + [0] * (top - len(sequences[k][1])) for k in part])
+            b = np.exp((self.logs[2].T[seen] - self.logs[2].T[seen].max(axis=2, keepdims=True)) * steps[:, :, None])
+            alpha = np.zeros((len(part), top, 4))
+            now = self.start * b[:, 0]
+            alpha[:, 0] = now / now.sum(axis=1, keepdims=True)
+            for t in range(1, top):
+                now = alpha[:, t - 1] @ self.move * b[:, t]
+                alpha[:, t] = now / now.sum(axis=1, keepdims=True)
+            weight = np.array([many[k] for k in part], dtype=float)
+            beta = np.ones((len(part), 4))
+            for t in range(top - 1, -1, -1):
+                live = (t < size) * weight
+                gamma = alpha[:, t] * beta
+                gamma *= (live / gamma.sum(axis=1))[:, None]
+                np.add.at(emit.T, seen[:, t], gamma * steps[:, t, None])
+                if t == 0:
+                    start += gamma.sum(axis=0)
+                    break
+                ahead = b[:, t] * beta
+                pair = alpha[:, t - 1, :, None] * self.move * ahead[:, None, :]
+                move += (pair * (live / pair.sum(axis=(1, 2)))[:, None, None]).sum(axis=0)
+                before = ahead @ self.move.T
+                beta = np.where((t < size)[:, None], before / before.sum(axis=1, keepdims=True), 1.0)
+        return out
+
+    def refitted(self, counts: np.ndarray) -> Model:
+        """The model of the summed counts and the prior."""
+
+        def part(own: np.ndarray, prior: np.ndarray) -> np.ndarray:
+            own = own.reshape(prior.shape)
+            mass = own + PRIOR_SHARE * np.maximum(own.sum(axis=-1, keepdims=True), 1.0) * prior
+            return mass / mass.sum(axis=-1, keepdims=True)
+
+        return Model(part(counts[:4], START), part(counts[4:20], MOVE), part(counts[20:], EMIT))
 
+    def distance(self, other: Model) -> float:
+        return max(np.abs(a - b).max() for a, b in ((self.start, other.start), (self.move, other.move), (self.emit, other.emit)))
 
-def viterbi(symbols: str) -> list[int]:
-    """The likeliest states of a sequence of symbols."""
-    seen = [SYMBOLS.index(s) for s in symbols]
-    score = START + EMIT[:, seen[0]]
-    back = []
-    for s in seen[1:]:
-        step = score[:, None] + MOVE
-        back.append(step.argmax(axis=0))
-        score = step.max(axis=0) + EMIT[:, s]
-    path = [int(score.argmax())]
-    for b in reversed(back):
-        path.append(int(b[path[-1]]))
-    return path[::-1]
+
+def estimate(sequences: DataFrame) -> Model:
+    """The model of all pages by Baum-Welch; ``sequences`` has symbols, steps and n."""
+    model = Model()
+    for _ in range(ROUNDS):
+        shared = sequences.sparkSession.sparkContext.broadcast(model)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    symbols, steps, n = (batch.column(c).to_pylist() for c in range(3))
+                    counts = shared.value.expected(list(zip(symbols, steps)), n)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(counts), dtype=np.int32)), pa.array(counts)], names=["at", "value"])
+
+        summed = sequences.select("symbols", "steps", "n").mapInArrow(run, "at INT, value DOUBLE").groupBy("at").agg(F.sum("value").alias("value")).collect()  # one row a parameter
+        counts = np.zeros(len(STATES) * (1 + len(STATES) + len(SYMBOLS)))
+        for r in summed:
+            counts[r["at"]] = r["value"]
+        model, before = model.refitted(counts), model
+        if model.distance(before) < TOLERANCE:
+            break
+    return model
+
+
+def n_words(words: list[str]) -> int:
+    """Words of a line; in scripts without spaces two letters are one."""
+    return sum(1 if w[0] < "\u3040" else (len(w) + 1) // 2 for w in words)
 
 
 def observe(lines: list[str], labels: list[int]) -> tuple[str, list[int]]:
-    """(symbols, number of letters) of a page's lines that are not empty."""
+    """(symbols, number of words) of a page's lines that are not empty."""
     words = [_WORDS(line.lower()) if label == BODY else [] for line, label in zip(lines, labels)]
-    counts = Counter(w for own in words for w in own)
-    total = sum(counts.values())
-    repeated = {w for w, c in counts.items() if len(w) > 1 and c >= REPEAT_COUNT and c > REPEAT_SHARE * total}
-    symbols, letters = [], []
+    counts = Counter()
+    for own in words:
+        counts.update(own)
+    bar = max(REPEAT_COUNT - 1, REPEAT_SHARE * counts.total())
+    repeated = {w for w, c in counts.items() if c > bar and len(w) > 1}
+    symbols, sizes = [], []
     for line, label, own in zip(lines, labels, words):
         if label == EMPTY:
             continue
         symbols.append(symbol(line, own, repeated) if label == BODY else "M")
-        letters.append(sum(map(len, own)))
-    return "".join(symbols), letters
+        sizes.append(n_words(own))
+    return "".join(symbols), sizes
 
 
-def rate(lines: list[str], labels: list[int]) -> tuple[int, int, int, float]:
-    """(letters of prose, of link lists, of tag lists, share of lists in the main text)."""
-    symbols, letters = observe(lines, labels)
+def steps_of(sizes: list[int]) -> list[int]:
+    """How many observations each line is."""
+    return [min(MAX_STEPS, 1 + n // STEP_WORDS) for n in sizes]
+
+
+def rate(symbols: str, sizes: list[int], model: Model | None = None) -> tuple[int, int, int, float]:
+    """(words of prose, of link lists, of tag lists, share of lists in the main text) of an observed page."""
     size = [0, 0, 0, 0]
     if any(s in "UHKSL" for s in symbols):
-        for s, state, n in zip(symbols, viterbi(symbols), letters):
+        for s, state, n in zip(symbols, (model or Model()).viterbi(symbols, steps_of(sizes)), sizes):
             if s not in "TM":
                 size[state] += n
-    else:
-        size[0] = sum(n for s, n in zip(symbols, letters) if s == "P")
+    else:  # only prose, titles and template: no state but prose gets words
+        size[0] = sum(n for s, n in zip(symbols, sizes) if s == "P")
     prose, links, tags, menu = size
-    total = prose + links + tags
+    total = prose + links + tags + menu
     return prose + menu, links, tags, (links + tags) / total if total else 0.0
 
 
 def rate_pages(df: DataFrame, key: str, wrapper: Wrapper) -> DataFrame:
-    """(key, prose, links, tags, list_share, flagged) of each page; ``df`` has url, domain, content and title."""
-    shared = df.sparkSession.sparkContext.broadcast(wrapper)
+    """(key, prose, links, tags, list_share, flagged) of each page; ``df`` has url, host, domain, content and title."""
+    sc = df.sparkSession.sparkContext
+    shared = sc.broadcast(wrapper)
+    seen = T.StructType([T.StructField("key", df.schema[key].dataType), *T.StructType.fromDDL("symbols STRING, sizes ARRAY<INT>, steps STRING").fields])
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, symbols, sizes = [], [], []
+            for k, lines, labels in labelled(batch, shared.value):
+                own, n = observe(lines, labels)
+                at.append(k), symbols.append(own), sizes.append(n)
+            steps = ["".join(map(str, steps_of(n))) for n in sizes]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, type=pa.int64())), pa.array(symbols, type=pa.string()), pa.array(sizes, type=pa.list_(pa.int32())), pa.array(steps, type=pa.string())], names=seen.names)
+
+    observed = staged(label_input(df, key, wrapper).mapInArrow(look, seen), "observed-lines")
+    sequences = staged(observed.where("symbols <> ''").groupBy("symbols", "steps").agg(F.count(F.lit(1)).alias("n")), "symbol-sequences")
+    model = sc.broadcast(estimate(sequences))
     schema = T.StructType([T.StructField(key, df.schema[key].dataType), *T.StructType.fromDDL("prose INT, links INT, tags INT, list_share DOUBLE, flagged BOOLEAN").fields])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w: Wrapper = shared.value
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            domains, urls, texts, titles = (batch.column(c).to_pylist() for c in (1, 2, 3, 4))
-            at, rated = [], []
-            for k, text in enumerate(texts):
-                if text:
-                    at.append(k)
-                    rated.append(rate(*w.label(text, site_of(domains[k], urls[k]), titles[k])))
+            rated = [rate(s, n, model.value) for s, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
             prose, links, tags, share = zip(*rated) if rated else ((), (), (), ())
             flagged = [s >= FLAG_SHARE for s in share]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(at, type=pa.int64())), pa.array(prose, type=pa.int32()), pa.array(links, type=pa.int32()), pa.array(tags, type=pa.int32()), pa.array(share, type=pa.float64()), pa.array(flagged, type=pa.bool_())],
-                names=schema.names,
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prose, type=pa.int32()), pa.array(links, type=pa.int32()), pa.array(tags, type=pa.int32()), pa.array(share, type=pa.float64()), pa.array(flagged, type=pa.bool_())], names=schema.names)
 
-    return df.where(F.col("content").isNotNull()).select(key, "domain", "url", "content", "title").mapInArrow(run, schema)
+    return observed.select("key", "symbols", "sizes").mapInArrow(judge, schema)
