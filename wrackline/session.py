@@ -23,10 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 
-    It is only set here where the session has none (tests, local runs).
+    It is only set here where the session has none and everything runs on one
+    machine (tests, local runs); on a cluster a missing setting is an error, as
+    executors could not read each other's machine-local folders.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="wrackline-stage-")
         atexit.register(shutil.rmtree, path, ignore_errors=True)
         found = f"file://{path}"
@@ -62,7 +66,7 @@ def _drop_staged() -> None:
 def ship_code(spark: SparkSession) -> None:
     """Make this package importable in the executors' Python workers."""
     sc = spark.sparkContext
-    if sc.master.startswith("local[") or sc.master == "local" or sc.applicationId in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.abspath(__file__))
     folder = tempfile.mkdtemp(prefix="wrackline-code-")
