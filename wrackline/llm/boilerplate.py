@@ -63,7 +63,7 @@ MAX_REPEATS = 4
 _SITE = "\ue000"
 _BLANK = r"\s\x0b\x1c-\x1f\x{85}\pZ"
 _SPLIT = rf"[|·•»›>/;:!?。！？…©\[\](){{}}]+|\.(?:[{_BLANK}]|$)|[{_BLANK}]{{2,}}|[{_BLANK}][-–—][{_BLANK}]"
-_GAP = r"[^\pL\x{E000}]+"
+_GAP = r"[^\pL\x{E000} ]"
 _LETTERS = re.compile(r"[^\W\d_]+").findall
 _DATE = re.compile(r"\d{1,4}\s?[./-]\s?\d{1,2}\s?[./-]\s?\d{1,4}|\d{4}年|\d{1,2}\.? [^\W\d_]+ \d{4}")
 _CRUMB = re.compile(r"\s(?:>|»|/|›)\s")
@@ -84,7 +84,10 @@ def cut_lines(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
 def cut_items(lines: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """(normalised items of lower-case lines, number of the line of each): words of letters, parted by blanks."""
     split = pc.split_pattern_regex(lines, _SPLIT)
-    items = pc.utf8_trim(pc.replace_substring_regex(split.flatten(), _GAP, " "), " ")
+    items = pc.utf8_trim(split.flatten(), " ")
+    odd = pc.match_substring_regex(items, rf"{_GAP}|  ")
+    words = pc.replace_substring_regex(pc.replace_substring_regex(items.filter(odd), f"{_GAP}+", " "), " {2,}", " ")
+    items = pc.replace_with_mask(items, odd, pc.utf8_trim(words, " "))
     owner = np.repeat(np.arange(len(lines)), np.diff(split.offsets.to_numpy()))
     full = pc.greater(pc.binary_length(items), 0)
     return items.filter(full), owner[full.to_numpy(zero_copy_only=False)]

@@ -331,8 +331,9 @@ def units(df: DataFrame, texts: list[str]) -> DataFrame:
                 words = words.filter(odd)
                 foreign = np.zeros(len(lines), dtype=bool)
                 foreign[owner[~pc.match_substring_regex(words, "[A-Za-z]").to_numpy(zero_copy_only=False)]] = True
-                foreign &= pc.count_substring_regex(lines, "[A-Za-z]").to_numpy() >= 6
-                whole = pc.utf8_trim_whitespace(pc.replace_substring_regex(lines.filter(pa.array(foreign)), r"\p{Nd}", "0"))
+                whole = lines.filter(pa.array(foreign))
+                whole = whole.filter(pc.match_substring_regex(whole, "(?:[A-Za-z][^A-Za-z]*){6}"))
+                whole = pc.utf8_trim_whitespace(pc.replace_substring_regex(whole, r"\p{Nd}", "0"))
                 for kind, found in (("w", words), ("l", whole)):
                     counts = pc.value_counts(found)
                     yield pa.RecordBatch.from_arrays([pa.array([kind] * len(counts), type=pa.string()), counts.field(0).cast(pa.string()), counts.field(1)], names=["kind", "unit", "n"])
