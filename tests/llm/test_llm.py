@@ -238,12 +238,18 @@ def test_garbled_round_trip(spark):
     assert garbled.restore(df.limit(0), "id", ["content", "title"]).count() == 0
 
 
-def test_truncated(spark):
+def test_truncated(spark, monkeypatch):
     full = [(i, f"http://h/{i}", f"The long council of town number {chr(97 + i % 26)} met in the old hall and opened a new bridge today.\nAnother line that ends in the old hall.\nBack to top" + "\nThe end." * (i % 2)) for i in range(60)]
     cut = [(100, "http://h/100", "The long council of town number a met in the old hall and opened a new"), (101, "http://h/101", "Another text.\nThe long council of town number b met in the ol")]
     df = spark.createDataFrame(full + cut + [(102, None, None), (103, "u", ""), (104, "u", "One line.\n")], "id bigint, url string, content string").withColumn("source", F.lit("s"))
     got = {r["id"] for r in truncated.judge(df, "id", "content", "url").where("cut").collect()}
     assert got == {100, 101}
+    monkeypatch.setattr(truncated, "MAX_BROADCAST", 0)
+    again = truncated.judge(df, "id", "content", "url")
+    assert {r["id"] for r in again.where("cut").collect()} == {100, 101} and {r["id"] for r in again.where("by_trigram").collect()} == {100, 101}
+    assert truncated.judge(df.limit(0), "id", "content", "url").count() == 0
+    long_ = spark.createDataFrame([(0, "http://h/x", "x" * 400 + " " + "y" * 400)], "id bigint, url string, content string").unionByName(df.drop("source"))
+    assert {r["id"] for r in truncated.judge(long_, "id", "content", "url").where("cut").collect()} >= {100, 101}
     rate = truncated.source_rates(df, "id", "source", "content", spark.createDataFrame([(100,), (101,)], "id bigint")).first()
     assert (rate["n_texts"], rate["n_cut"]) == (64, 2)
 
