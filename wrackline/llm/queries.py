@@ -27,14 +27,19 @@ def p9_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per.join(F.broadcast(sizes), "pack_id").withColumn("least_containers", F.ceil(F.col("tokens") / F.col("capacity"))).withColumn("fill", F.col("tokens") / (F.col("containers") * F.col("capacity")))
 
 
+def _by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mementos with the five-year period of their capture, by which they are loaded."""
+    return table(spark, sf_dir, "mementos").withColumn("_period", (F.col("crawl_year") - F.pmod("crawl_year", F.lit(5))).cast("int"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines on at least 5 urls of their domain, loaded year by year."""
-    return lines.incremental_lines(table(spark, sf_dir, "mementos"), "id_long", "domain", "url", "content", "crawl_year")
+    """Lines on at least 5 urls of their domain, loaded period by period."""
+    return lines.incremental_lines(_by_period(spark, sf_dir), "id_long", "domain", "url", "content", "_period")
 
 
 def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every memento's content without such lines."""
-    return lines.incremental_clean(table(spark, sf_dir, "mementos"), "id_long", "domain", "url", "content", "crawl_year")
+    return lines.incremental_clean(_by_period(spark, sf_dir), "id_long", "domain", "url", "content", "_period")
 
 
 def p1_segments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,9 @@ texts, so that the result does not depend on the corpus size.
 Readers are also loaded by long sentences, which the graded levels trade against
 word difficulty, so a text's level is a linear reading, per language, of its
 place t and the log of its words per sentence. It is fitted on the graded texts
-by cross-fitting: a fold's texts are placed with words fitted without it.
+by cross-fitting: a fold's texts are placed with words fitted without it. Levels
+are whole numbers; the cut between two of them is put where, within reach of
+the middle, the whole corpus's texts are thinnest, from one histogram a language.
 
 The vocabulary is that of the graded texts (a small table of labelled rows, at
 most ``MAX_GRADED`` of which are used), so that the model's size is bounded and
@@ -42,9 +44,15 @@ from pyspark.sql import types as T
 from wrackline.llm import langid
 from wrackline.session import staged
 
-MAX_GRADED = 50_000
+#: At most so many graded texts are used (a documented bound: texts x vocabulary are held on the driver).
+MAX_GRADED = 2_000
 FOLDS = 5
-ROUNDS = 2
+#: The alternation ends when word difficulties move less than this on average (weighted by use), or after so many rounds.
+TOLERANCE, ROUNDS = 0.01, 6
+#: The cut between two levels lies where the corpus is thinnest, at most so far from the middle between them; only texts of so many words are asked.
+CUT_REACH, CUT_WORDS = 0.3, 40
+#: Levels are counted in bins of this width and smoothed over a kernel of so many bins.
+CUT_BIN, CUT_KERNEL = 0.02, 5.0
 #: A language whose mean word is longer than this many letters is taken as written without spaces.
 UNSPACED_LETTERS = 12.0
 GRID = np.arange(-3.0, 9.001, 0.02)
@@ -108,6 +116,7 @@ class ReadingModel:
         shape = np.array([self.shape(lang, words, text) for lang, _, words, text in graded]).reshape(-1, 2)
         self.pace = {lang: shape[[g[0] == lang for g in graded], 0] for lang in self.langs}
         self.style = np.linalg.lstsq(np.column_stack([shape, np.ones(len(shape))]), level, rcond=None)[0] if len(shape) else np.zeros(3)
+        self.cuts: dict[str, np.ndarray] = {}
         self.fit()
 
     def shape(self, lang: str, words: list[str], text: str) -> tuple[float, float]:
@@ -140,6 +149,35 @@ class ReadingModel:
             self.words[lang] = self._fitted(lang, np.ones(len(level), dtype=bool))
             self.reading[lang] = np.linalg.lstsq(np.column_stack([placed, self.pace[lang], np.ones(len(level))]), level, rcond=None)[0]
 
+    def difficulties(self) -> np.ndarray:
+        return np.concatenate([self.words[lang].b for lang in self.langs] or [np.zeros(0)])
+
+    def moved(self, before: np.ndarray) -> float:
+        """Mean change of word difficulties, words weighted by their use in the corpus."""
+        use = np.concatenate([self.corpus[lang].sum(axis=1) for lang in self.langs] or [np.zeros(0)])
+        return float((np.abs(self.difficulties() - before) * use).sum() / max(1.0, use.sum()))
+
+    def set_cuts(self, histogram: dict[tuple[str, int], int]) -> None:
+        """Cut points of each language from numbers of texts by bin of ``CUT_BIN``."""
+        self.cuts = {}
+        reach = np.arange(-40, 41)
+        kernel = np.exp(-0.5 * (reach / CUT_KERNEL) ** 2)
+        for lang in self.langs:
+            out = []
+            for low, high in zip(self.levels, self.levels[1:]):
+                mid = (low + high) / 2
+                bins = np.arange(round((mid - CUT_REACH) / CUT_BIN), round((mid + CUT_REACH) / CUT_BIN) + 1)
+                dense = np.array([sum(k * histogram.get((lang, int(b + r)), 0) for k, r in zip(kernel, reach)) for b in bins])
+                # the nearer to the middle the better, where the corpus does not tell
+                far = np.abs(bins * CUT_BIN - mid) / CUT_REACH
+                out.append(float(bins[np.argmin(dense / max(dense.max(), 1e-9) + 0.05 * far)] * CUT_BIN))
+            self.cuts[lang] = np.array(out)
+
+    def level(self, lang: str | None, theta: np.ndarray) -> np.ndarray:
+        """The whole level of places on the scale; without cut points the nearest one."""
+        middles = (np.array(self.levels[1:], dtype=float) + np.array(self.levels[:-1], dtype=float)) / 2
+        return np.array(self.levels)[np.searchsorted(self.cuts.get(lang, middles), np.nan_to_num(theta), side="right")]
+
     def scaled(self, lang: str, placed: np.ndarray, pace: np.ndarray) -> np.ndarray:
         """Level (unrounded) of texts by place and log of words per sentence."""
         a, b, c = self.reading[lang]
@@ -231,6 +269,31 @@ def _bin_counts(counts: DataFrame, shared) -> DataFrame:
     return counts.select("lang", "ids", "n").mapInArrow(run, "lang INT, word INT, bin INT, n BIGINT").groupBy("lang", "word", "bin").agg(F.sum("n").alias("n"))
 
 
+def _theta(model: ReadingModel, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(lang numbers, place on the scale of levels) of a batch of counts."""
+    of_lang, placed, *_ = _placed(model, batch)
+    style = batch.column("style").to_numpy(zero_copy_only=False).astype(float)
+    theta = style.copy()
+    for k, lang in enumerate(model.langs):
+        own = of_lang == k
+        theta[own] = model.scaled(lang, placed[own], style[own])
+    return of_lang, theta
+
+
+def _level_counts(counts: DataFrame, shared) -> DataFrame:
+    """(lang, bin, n): texts of the corpus by place on the scale."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: ReadingModel = shared.value
+        for batch in batches:
+            of_lang, theta = _theta(model, batch)
+            own = (of_lang >= 0) & ~np.isnan(theta) & (batch.column("n_words").to_numpy(zero_copy_only=False) >= CUT_WORDS)
+            pairs, n = np.unique(np.column_stack([of_lang[own], np.round(theta[own] / CUT_BIN).astype(np.int64)]), axis=0, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([model.langs[k] for k in pairs[:, 0].tolist()], type=pa.string()), pa.array(pairs[:, 1].astype(np.int32)), pa.array(n)], names=["lang", "bin", "n"])
+
+    return counts.select("lang", "n_words", "style", "ids", "n").mapInArrow(run, "lang STRING, bin INT, n BIGINT").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
+
+
 def rate(df: DataFrame, key: str, text: str, graded: DataFrame, samples: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(key, lang, confidence, n_words, theta, reading_level, anchored) of every text."""
     sc = df.sparkSession.sparkContext
@@ -245,23 +308,25 @@ def rate(df: DataFrame, key: str, text: str, graded: DataFrame, samples: DataFra
             model.corpus[lang][:] = 0
         for r in summed:
             model.corpus[model.langs[r["lang"]]][r["word"], r["bin"]] = r["n"]
+        before = model.difficulties()
         model.fit()
+        if model.moved(before) < TOLERANCE:
+            break
+    model.set_cuts({(r["lang"], r["bin"]): r["n"] for r in _level_counts(counts, sc.broadcast(model)).collect()})  # at most languages x bins rows
     final = sc.broadcast(model)
     schema = T.StructType([T.StructField(key, df.schema[key].dataType), *T.StructType.fromDDL("lang STRING, confidence DOUBLE, n_words INT, theta DOUBLE, reading_level INT, anchored BOOLEAN").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: ReadingModel = final.value
         for batch in batches:
-            of_lang, placed, *_ = _placed(model, batch)
-            style = batch.column("style").to_numpy(zero_copy_only=False).astype(float)
-            theta = style.copy()
-            for k, lang in enumerate(model.langs):
-                own = of_lang == k
-                theta[own] = model.scaled(lang, placed[own], style[own])
-            level = np.clip(np.round(np.nan_to_num(theta)), min(model.levels, default=0), max(model.levels, default=0))
+            of_lang, theta = _theta(model, batch)
+            level = np.zeros(len(theta), dtype=np.int32)
+            if model.levels:
+                for k in np.unique(of_lang).tolist():
+                    level[of_lang == k] = model.level(model.langs[k] if k >= 0 else None, theta[of_lang == k])
             none = np.isnan(theta)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column("lang"), batch.column("confidence"), batch.column("n_words"), pa.array(theta, mask=none), pa.array(level.astype(np.int32), mask=none), pa.array(of_lang >= 0)], names=schema.names
+                [batch.column(0), batch.column("lang"), batch.column("confidence"), batch.column("n_words"), pa.array(theta, mask=none), pa.array(level, mask=none), pa.array(of_lang >= 0)], names=schema.names
             )
 
     return counts.mapInArrow(run, schema)
