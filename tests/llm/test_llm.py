@@ -151,7 +151,8 @@ def test_segments_of_mixed_text(spark, data):
     text = "The festival supported the summer programme in the old town hall. The garden club opened the reading room.\nLe conseil municipal a décrit la fête d’été avant les vacances. Le club a préparé le pain."
     df = spark.createDataFrame([(1, "d.test", "http://d.test/", text, None), (2, None, None, None, None), (3, "d.test", "http://d.test/2", "Home | News", None)], "id bigint, domain string, url string, content string, title string").withColumn("label", F.lit("en"))
     found = segments.page_segments(df, "id", boilerplate.Wrapper({}), model)
-    assert [(r["first_line"], r["lang"]) for r in found.orderBy("segment_no").collect()] == [(1, "en"), (2, "fr")]
+    assert [(r["id"], r["segment_no"], r["first_line"], r["lang"]) for r in found.orderBy("id", "segment_no").collect()] == [(1, 1, 1, "en"), (1, 2, 2, "fr"), (3, 0, 1, "en")]
+    assert {(r["id"], r["lang"]) for r in segments.page_languages(found, "id").collect()} == {(1, "en"), (1, "fr"), (3, "en")}
     assert rows(segments.mislabelled(df, "id", "label", found)) == [(1, "en"), (1, "fr")]
 
 

@@ -234,9 +234,16 @@ class Wrapper:
         return next(self.label_batch([text], [site], [title]))
 
     def label_batch(self, texts: list[str], sites: list[str], titles: list[str | None], owns: list | None = None) -> Iterator[tuple[list[str], list[int]]]:
-        """(lines, garbled ones restored; label of each line) of every page; ``owns`` has (item, share, in the wrapper) of the pages' hosts."""
-        if not texts:
-            return
+        """(lines, garbled ones restored; label of each line) of every page, as :meth:`label_arrays`."""
+        if texts:
+            lines, page, labels = self.label_arrays(texts, sites, titles, owns)
+            bounds = np.searchsorted(page, np.arange(len(texts) + 1)).tolist()
+            all_lines, all_labels = lines.to_pylist(), labels.tolist()
+            for a, b in zip(bounds, bounds[1:]):
+                yield all_lines[a:b], all_labels[a:b]
+
+    def label_arrays(self, texts: list[str], sites: list[str], titles: list[str | None], owns: list | None = None) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """(lines of all pages, garbled ones restored; page of each line; label of each line); ``owns`` has (item, share, in the wrapper) of the pages' hosts."""
         texts = self.restored(texts)
         lines, page = cut_lines(texts)
         items, owner = cut_items(cut_lines([masked(t, s) for t, s in zip(texts, sites)])[0])
@@ -285,7 +292,7 @@ class Wrapper:
         heading = (labels == TEMPLATE) & (count == 1)
         heading[heading] = share[first[heading]] >= HEADING_SHARE
         crumb = (labels == BODY) & (count > 1) & known_first
-        all_lines, all_labels = lines.to_pylist(), labels.tolist()
+        all_lines = lines.to_pylist()
         has_template = np.bincount(page, weights=labels == TEMPLATE, minlength=len(texts)).tolist()
         crumbs = np.bincount(page, weights=crumb, minlength=len(texts)).tolist()
         headings = np.bincount(page, weights=heading, minlength=len(texts)).tolist()
@@ -294,9 +301,9 @@ class Wrapper:
             titles = list(titles)
             for p, done in zip(asked, self.restorer.restore_batch([titles[p] for p in asked])):
                 titles[p] = done[0] if done else titles[p]
-        for p in range(len(texts)):
+        for p in (p for p, asked in enumerate(has_template) if asked or crumbs[p]):
             a, b = int(bounds[p]), int(bounds[p + 1])
-            own_lines, own_labels = all_lines[a:b], all_labels[a:b]
+            own_lines, own_labels = all_lines[a:b], labels[a:b].tolist()
             if crumbs[p] or headings[p]:
                 name = flat(titles[p] or "")
                 for k in (np.flatnonzero(crumb[a:b])).tolist() if crumbs[p] else ():
@@ -309,7 +316,8 @@ class Wrapper:
                     _sidebars(own_lines, heading[a:b].tolist(), own_labels, name)
             if has_template[p]:
                 _dates(own_lines, own_labels)
-            yield own_lines, own_labels
+            labels[a:b] = own_labels
+        return lines, page, labels
 
 
 def _words(text: str, site: str) -> str:
@@ -369,14 +377,12 @@ def wrapper_for(df: DataFrame, restorer: Restorer | None = None) -> Wrapper:
     return wrapper
 
 
-def labelled(batch: pa.RecordBatch, wrapper: Wrapper) -> Iterator[tuple[int, list[str], list[int]]]:
-    """(row, lines, labels) of each page with text in a batch of :func:`label_input`."""
+def labelled(batch: pa.RecordBatch, wrapper: Wrapper) -> tuple[list[int], pa.Array, np.ndarray, np.ndarray]:
+    """(rows of the pages with text in a batch of :func:`label_input`; their lines, page and label of each line)."""
     domains, urls, texts, titles, owns = (batch.column(c).to_pylist() for c in range(1, 6))
     at = [k for k, t in enumerate(texts) if t]
     pairs = [[(o["item"], o["share"], o["wide"]) for o in owns[k]] if owns[k] else None for k in at]
-    done = wrapper.label_batch([texts[k] for k in at], [site_of(domains[k], urls[k]) for k in at], [titles[k] for k in at], pairs)
-    for k, (lines, labels) in zip(at, done):
-        yield k, lines, labels
+    return at, *wrapper.label_arrays([texts[k] for k in at], [site_of(domains[k], urls[k]) for k in at], [titles[k] for k in at], pairs)
 
 
 def label_input(df: DataFrame, key: str, wrapper: Wrapper) -> DataFrame:
@@ -398,12 +404,10 @@ def boilerplate_lines(df: DataFrame, key: str, wrapper: Wrapper) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, number = [], []
-            for k, _, labels in labelled(batch, shared.value):
-                found = [i for i, label in enumerate(labels, 1) if label in (TEMPLATE, CRUMB, SIDEBAR)]
-                at += [k] * len(found)
-                number += found
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, type=pa.int64())), pa.array(number, type=pa.int32())], names=schema.names)
+            rows, _, page, labels = labelled(batch, shared.value)
+            found = np.flatnonzero(np.isin(labels, (TEMPLATE, CRUMB, SIDEBAR)))
+            first = np.searchsorted(page, page[found])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.array(rows, dtype=np.int64)[page[found]])), pa.array((found - first + 1).astype(np.int32))], names=schema.names)
 
     return label_input(df, key, wrapper).mapInArrow(run, schema)
 
@@ -416,8 +420,11 @@ def bodies(df: DataFrame, key: str, wrapper: Wrapper) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = batch.column(3).to_pylist()
-            for k, _, labels in labelled(batch, shared.value):
-                out[k] = "\n".join(line for line, label in zip(out[k].split("\n"), labels) if label in (BODY, EMPTY))
+            rows, _, page, labels = labelled(batch, shared.value)
+            kept = np.isin(labels, (BODY, EMPTY)).tolist()
+            bounds = np.searchsorted(page, np.arange(len(rows) + 1)).tolist()
+            for k, a, b in zip(rows, bounds, bounds[1:]):
+                out[k] = "\n".join(line for line, own in zip(out[k].split("\n"), kept[a:b]) if own)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, type=pa.string())], names=schema.names)
 
     return label_input(df, key, wrapper).mapInArrow(run, schema)

@@ -18,6 +18,8 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 BUCKETS = 1 << 16
@@ -30,6 +32,15 @@ MEMO_CHARS = 4_000_000
 words_of = re.compile(r"[^\W\d_]+").findall
 
 
+def cut_words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """(lower-case words of all texts, number of the text of each)."""
+    split = pc.split_pattern_regex(pc.utf8_lower(texts), r"[^\pL\p{Nl}\p{No}]+")
+    words = split.flatten()
+    full = pc.greater(pc.binary_length(words), 0)
+    owner = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))
+    return words.filter(full).dictionary_encode(), owner[full.to_numpy(zero_copy_only=False)]
+
+
 def ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(word number, bucket) of every n-gram of the words, ordered by order and then by word."""
     codes = np.frombuffer((" " + " ".join(words) + " ").encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
@@ -87,9 +98,24 @@ class LanguageModel:
 
     def number(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """(row of each word, offsets of the texts) for texts given as lists of lower-case words."""
+        self.learn(set().union(*texts))
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)]).astype(np.int64)
+        rows = np.fromiter((self.rows[w] for t in texts for w in t), dtype=np.int64, count=int(offsets[-1]))
+        return rows, offsets
+
+    def number_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`number` of the words of whole texts."""
+        words, owner = cut_words(pa.array(texts, type=pa.large_string()))
+        names = words.dictionary.to_pylist()
+        self.learn(set(names))
+        rows = np.fromiter((self.rows[w] for w in names), dtype=np.int64, count=len(names))[words.indices.to_numpy()]
+        return rows, np.searchsorted(owner, np.arange(len(texts) + 1))
+
+    def learn(self, words: set[str]) -> None:
+        """Score the words that are not in the memo."""
         if self.chars > MEMO_CHARS:
             self._forget()
-        new = list(set().union(*texts).difference(self.rows)) if texts else []
+        new = list(words.difference(self.rows))
         if new:
             owner, bucket = ngrams(new)
             order = np.argsort(owner, kind="stable")
@@ -99,9 +125,6 @@ class LanguageModel:
             self.scores = np.concatenate([self.scores, scores])
             self.grams = np.concatenate([self.grams, np.diff(np.append(starts, len(order))).astype(np.int32)])
             self.chars += sum(map(len, new))
-        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)]).astype(np.int64)
-        rows = np.fromiter((self.rows[w] for t in texts for w in t), dtype=np.int64, count=int(offsets[-1]))
-        return rows, offsets
 
     def score(self, rows: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(log-probabilities of each text, its number of n-grams)."""

@@ -50,7 +50,7 @@ def p1_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Languages of every page's running text."""
+    """Languages of every page with letters."""
     return segments.page_languages(p1_segments(spark, sf_dir), "id_long")
 
 

@@ -8,9 +8,10 @@ segment. A sentence leaves the page's language only by a clear margin, and only
 if it is whole.
 
 Defined results: pages without prose, or whose main text is mostly lists, have
-no running text and give no rows; nulls and empty texts too; a label is
-compared by its language alone (letter case, region and three-letter codes do
-not matter).
+no running text; they get one row with segment number 0 and no sentences: the
+language of all their lines. Nulls, empty texts and texts without letters give
+no rows; a label is compared by its language alone (letter case, region and
+three-letter codes do not matter), for pages with running text.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wrackline.llm import langid, spam
-from wrackline.llm.boilerplate import BODY, EMPTY, Wrapper, label_input, labelled
+from wrackline.llm.boilerplate import BODY, Wrapper, label_input, labelled
 
 #: Three-letter codes (ISO 639-2) of two-letter ones (ISO 639-1).
 CODES = {"eng": "en", "deu": "de", "ger": "de", "fra": "fr", "fre": "fr", "spa": "es", "por": "pt", "dan": "da", "pol": "pl", "rus": "ru", "jpn": "ja", "ita": "it", "nld": "nl", "dut": "nl", "swe": "sv", "nor": "no", "fin": "fi", "ces": "cs", "cze": "cs", "ukr": "uk", "zho": "zh", "chi": "zh", "kor": "ko"}
@@ -57,13 +58,11 @@ def with_copies(samples: list[tuple[str, str]]) -> list[tuple[str, str]]:
     return out
 
 
-def _sentences(lines: list[str], labels: list[int]) -> list[tuple[int, str]]:
-    """(line number, sentence) of the prose of a page's main text; none if lists prevail.
+def _sentences(lines: list[str], at: list[int], symbols: str, sizes: list[int], labels: list[int]) -> list[tuple[int, str]]:
+    """(line number, sentence) of the prose of a page's main text; none if lists prevail. ``at``: the lines that are not empty.
 
     Short lines before the first long one (bylines) get number 0: they are no full sentences.
     """
-    symbols, sizes = spam.observe(lines, labels)
-    at = [k for k, label in enumerate(labels) if label != EMPTY]
     states = [0] * len(symbols)  # as without list symbols every line is prose or template
     if any(s in "UHKSL" for s in symbols):
         states = spam.Model().viterbi(symbols, spam.steps_of(sizes))
@@ -93,10 +92,18 @@ def page_segments(df: DataFrame, key: str, wrapper: Wrapper, model: langid.Langu
             for start in range(0, whole.num_rows, 2048):
                 batch = whole.slice(start, 2048)
                 page, line, text = [], [], []
-                for k, lines, labels in labelled(batch, w):
-                    for n, s in _sentences(lines, labels):
+                rows, all_lines, of_page, labels = labelled(batch, w)
+                shown, symbols, sizes = spam.observe_batch(all_lines, of_page, labels)
+                all_lines, labels = all_lines.to_pylist(), labels.tolist()
+                first = np.searchsorted(of_page, np.arange(len(rows) + 1)).tolist()
+                bounds = np.searchsorted(of_page[shown], np.arange(len(rows) + 1)).tolist()
+                for p, k in enumerate(rows):
+                    a, b = first[p], first[p + 1]
+                    own = slice(bounds[p], bounds[p + 1])
+                    found = _sentences(all_lines[a:b], (shown[own] - a).tolist(), "".join(symbols[own]), sizes[own].tolist(), labels[a:b])
+                    for n, s in found or [(a - b, "\n".join(all_lines[a:b]))]:
                         page.append(k), line.append(n), text.append(s)
-                scores, grams = m.score(*m.number([langid.words_of(s.lower()) for s in text]))
+                scores, grams = m.score(*m.number_all(text))
                 out: list[tuple] = []
                 if text:
                     pages = np.array(page)
@@ -121,6 +128,8 @@ def _cut(page: int, line: list[int], text: list[str], scores: np.ndarray, grams:
     if not grams.sum():
         return []
     main = int(scores.sum(axis=0).argmax())
+    if line[0] < 0:  # no running text
+        return [(page, 0, 1, -line[0], 0, langs[main], float(langid.decide(scores, grams)[1][0]))]
     best = scores.argmax(axis=1)
     away = (best != main) & (scores.max(axis=1) - scores[:, main] >= MARGIN)
     own = [int(b) if a and n and _END(t) and _is_sentence(t) else main for a, b, t, n in zip(away.tolist(), best.tolist(), text, line)]
@@ -137,13 +146,13 @@ def _cut(page: int, line: list[int], text: list[str], scores: np.ndarray, grams:
 
 
 def page_languages(segments: DataFrame, key: str) -> DataFrame:
-    """(key, lang, n_sentences, confidence): the languages of each page's running text."""
-    return segments.groupBy(key, "lang").agg(F.sum("n_sentences").cast("int").alias("n_sentences"), (F.sum(F.col("confidence") * F.col("n_sentences")) / F.sum("n_sentences")).alias("confidence"))
+    """(key, lang, n_sentences, confidence): the languages of each page with letters."""
+    return segments.groupBy(key, "lang").agg(F.sum("n_sentences").cast("int").alias("n_sentences"), (F.sum(F.col("confidence") * F.greatest("n_sentences", F.lit(1))) / F.sum(F.greatest("n_sentences", F.lit(1)))).alias("confidence"))
 
 
 def mislabelled(df: DataFrame, key: str, label: str, segments: DataFrame) -> DataFrame:
     """(key, lang) of pages whose label names no language, another one, or one of several; ``key`` must be unique."""
-    langs = segments.groupBy(key).agg(F.sort_array(F.collect_set("lang")).alias("langs"))
+    langs = segments.where("segment_no > 0").groupBy(key).agg(F.sort_array(F.collect_set("lang")).alias("langs"))
     named = label_language(F.col(label))
     joined = df.select(key, named.alias("_named")).join(langs, key)
     wrong = joined.where(F.col("_named").isNull() | (F.size("langs") > 1) | ~F.array_contains("langs", F.coalesce("_named", F.lit(""))))

@@ -22,15 +22,16 @@ a run of letters of a script without spaces counts as a word per two letters.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wrackline.llm import langid
 from wrackline.llm.boilerplate import BODY, EMPTY, Wrapper, label_input, labelled
 from wrackline.session import staged
 
@@ -63,35 +64,50 @@ _ADDRESS = re.compile(r"https?://\S+|www\.\S+")
 _TAG = re.compile(r"#\w+").findall
 _NUMBER = re.compile(r"(?<!\w)\d[\d.,]*(?!\w)").findall
 _BARS = "|;/·•,"
-_CLOSERS = "\"”»“«’')]"
-
-
-def ended(line: str) -> bool:
-    """Whether a line ends in a sentence mark, closing signs aside."""
-    return line.rstrip().rstrip(_CLOSERS)[-1:] in tuple(".!?。！？…")
-
-
-def symbol(line: str, words: list[str], repeated: set[str]) -> str:
-    """What the model observes of a line of the main text."""
-    if "://" in line or "www." in line:
-        addresses = _ADDRESS.findall(line)
-        rest = len(_WORDS(_ADDRESS.sub(" ", line))) if addresses else 0
-        if addresses and rest <= 4 * len(addresses) and not line.lstrip().startswith("["):
-            return "U"
-    if "#" in line:
-        tags = _TAG(line)
-        if len(tags) >= 3 and sum(map(len, tags)) > 0.5 * len(line):
-            return "H"
-    n = len(words)
-    bars = sum(map(line.count, _BARS))
-    if n >= 2 and repeated and sum(map(repeated.__contains__, words)) >= KEYWORD_SHARE * n:
-        return "K" if n >= 6 else "S" if bars >= 2 and len(_NUMBER(line)) >= 2 else "L" if bars else "T"
-    if bars >= 2 and n <= 8 and len(_NUMBER(line)) >= 2:
-        return "S"
-    end = ended(line)
-    if not end and line.count("|") >= 2:
-        return "L"
-    return "P" if n >= 12 or end and (n >= 5 or len(line) >= 30) else "T"
+_END = r"""[.!?。！？…]["”»“«’')\]]*[\s\pZ]*$"""
+
+
+def address_or_tags(line: str) -> str:
+    """U for a line of addresses, H for one of hashtags, else nothing."""
+    addresses = _ADDRESS.findall(line)
+    rest = len(_WORDS(_ADDRESS.sub(" ", line))) if addresses else 0
+    if addresses and rest <= 4 * len(addresses) and not line.lstrip().startswith("["):
+        return "U"
+    tags = _TAG(line)
+    return "H" if len(tags) >= 3 and sum(map(len, tags)) > 0.5 * len(line) else ""
+
+
+def observe_batch(lines: pa.Array, page: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(numbers of the lines that are not empty; what the model observes of each; its number of words)."""
+    symbols, sizes = np.full(len(labels), "M", dtype="U1"), np.zeros(len(labels), dtype=np.int64)
+    body = np.flatnonzero(labels == BODY)
+    text = lines.take(pa.array(body))
+    words, owner = langid.cut_words(text)
+    code, names = words.indices.to_numpy().astype(np.int64), words.dictionary
+    length = pc.utf8_length(names).to_numpy()
+    weight = np.where(pc.match_substring_regex(names, r"^[\x{3040}-\x{10ffff}]").to_numpy(zero_copy_only=False), (length + 1) // 2, 1)
+    n = np.bincount(owner, minlength=len(body))
+    # words that make up too much of their page
+    of_page = page[body][owner]
+    pairs, back, many = np.unique(of_page << 32 | code, return_inverse=True, return_counts=True)
+    bar = np.maximum(REPEAT_COUNT - 1, REPEAT_SHARE * np.bincount(of_page, minlength=int(page.max(initial=0)) + 1))
+    repeated = (many > bar[pairs >> 32]) & (length[pairs & 0xFFFFFFFF] > 1)
+    hits = np.bincount(owner, weights=repeated[back], minlength=len(body))
+    bars = sum(pc.count_substring(text, sign).to_numpy() for sign in _BARS)
+    figures = np.zeros(len(body), dtype=bool)
+    for k in np.flatnonzero((bars >= 2) & (n <= 8)).tolist():
+        figures[k] = len(_NUMBER(text[k].as_py())) >= 2
+    end = pc.match_substring_regex(text, _END).to_numpy(zero_copy_only=False)
+    keyword = (n >= 2) & (hits >= KEYWORD_SHARE * n)
+    found = np.select(
+        [keyword & (n >= 6), figures, keyword & (bars > 0), keyword, ~end & (pc.count_substring(text, "|").to_numpy() >= 2), (n >= 12) | end & ((n >= 5) | (pc.utf8_length(text).to_numpy() >= 30))],
+        ["K", "S", "L", "T", "L", "P"], "T",
+    )
+    for k in np.flatnonzero(pc.match_substring_regex(text, r"://|www\.|#").to_numpy(zero_copy_only=False)).tolist():
+        found[k] = address_or_tags(text[k].as_py()) or found[k]
+    symbols[body], sizes[body] = found, np.bincount(owner, weights=weight[code], minlength=len(body))
+    at = np.flatnonzero(labels != EMPTY)
+    return at, symbols[at], sizes[at]
 
 
 class Model:
@@ -191,26 +207,10 @@ def estimate(sequences: DataFrame) -> Model:
     return model
 
 
-def n_words(words: list[str]) -> int:
-    """Words of a line; in scripts without spaces two letters are one."""
-    return sum(1 if w[0] < "\u3040" else (len(w) + 1) // 2 for w in words)
-
-
 def observe(lines: list[str], labels: list[int]) -> tuple[str, list[int]]:
-    """(symbols, number of words) of a page's lines that are not empty."""
-    words = [_WORDS(line.lower()) if label == BODY else [] for line, label in zip(lines, labels)]
-    counts = Counter()
-    for own in words:
-        counts.update(own)
-    bar = max(REPEAT_COUNT - 1, REPEAT_SHARE * counts.total())
-    repeated = {w for w, c in counts.items() if c > bar and len(w) > 1}
-    symbols, sizes = [], []
-    for line, label, own in zip(lines, labels, words):
-        if label == EMPTY:
-            continue
-        symbols.append(symbol(line, own, repeated) if label == BODY else "M")
-        sizes.append(n_words(own))
-    return "".join(symbols), sizes
+    """(symbols, number of words) of one page's lines that are not empty."""
+    _, symbols, sizes = observe_batch(pa.array(lines, type=pa.large_string()), np.zeros(len(lines), dtype=np.int64), np.array(labels))
+    return "".join(symbols), sizes.tolist()
 
 
 def steps_of(sizes: list[int]) -> list[int]:
@@ -240,10 +240,11 @@ def rate_pages(df: DataFrame, key: str, wrapper: Wrapper) -> DataFrame:
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, symbols, sizes = [], [], []
-            for k, lines, labels in labelled(batch, shared.value):
-                own, n = observe(lines, labels)
-                at.append(k), symbols.append(own), sizes.append(n)
+            at, lines, page, labels = labelled(batch, shared.value)
+            shown, codes, words = observe_batch(lines, page, labels)
+            bounds = np.searchsorted(page[shown], np.arange(len(at) + 1)).tolist()
+            symbols = ["".join(codes[a:b]) for a, b in zip(bounds, bounds[1:])]
+            sizes = [words[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
             steps = ["".join(map(str, steps_of(n))) for n in sizes]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, type=pa.int64())), pa.array(symbols, type=pa.string()), pa.array(sizes, type=pa.list_(pa.int32())), pa.array(steps, type=pa.string())], names=seen.names)
 
