@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wrackline.llm.counting import slices
 from wrackline.llm.garbled import Restorer
 from wrackline.session import staged
 
@@ -143,7 +144,7 @@ def page_nodes(df: DataFrame, url: str, host: str, domain: str, text: str, title
     """((h, d, u, item, heads) of the nodes of every page, (h, n_pages) of every host)."""
 
     def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 5):
             domains, urls, texts, titles = (batch.column(c).to_pylist() for c in range(3, 7))
             lines, page = cut_lines(texts)
             low, _ = cut_lines([masked(t, site_of(d, u)) for t, d, u in zip(texts, domains, urls)])
@@ -403,7 +404,7 @@ def boilerplate_lines(df: DataFrame, key: str, wrapper: Wrapper) -> DataFrame:
     schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("line_no", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 3):
             rows, _, page, labels = labelled(batch, shared.value)
             found = np.flatnonzero(np.isin(labels, (TEMPLATE, CRUMB, SIDEBAR)))
             first = np.searchsorted(page, page[found])
@@ -418,7 +419,7 @@ def bodies(df: DataFrame, key: str, wrapper: Wrapper) -> DataFrame:
     schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("body", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 3):
             out = batch.column(3).to_pylist()
             rows, _, page, labels = labelled(batch, shared.value)
             kept = np.isin(labels, (BODY, EMPTY)).tolist()

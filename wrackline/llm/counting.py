@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,22 @@ from pyspark.sql import types as T
 FLUSH_KEYS = 200_000
 
 
+#: A batch is worked on in slices of about so many bytes of text and at most so many rows, which bounds a worker's memory.
+SLICE_BYTES, SLICE_ROWS = 3_000_000, 2048
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, by the sizes of the texts of a column; a longer text is a slice of its own."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = int(ends[start - 1]) if start else 0
+            end = max(start + 1, min(start + SLICE_ROWS, int(np.searchsorted(ends, before + SLICE_BYTES, side="right"))))
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def sums(df: DataFrame, keys: str, count: Callable[[pa.RecordBatch, Counter], None]) -> DataFrame:
     """(keys..., n): ``count`` adds a batch's key tuples to a counter; tasks pre-sum, then the shuffle sums."""
     fields = T.StructType.fromDDL(keys)

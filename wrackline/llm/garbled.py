@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wrackline.llm.counting import sums
+from wrackline.llm.counting import slices, sums
 from wrackline.session import staged
 
 #: Encodings that a text may have been read with, and that it may truly have.
@@ -176,41 +176,46 @@ class Restorer:
         return total + math.log(self.words.get(word, 0) + 1)
 
     def readings(self, word: str, cut: bool) -> dict[int, tuple[str, float, int]]:
-        """family -> (word turned back, what that gains, 1 if it changed); twice as family + 1000."""
+        """:meth:`read_back` by a bounded memo."""
         known = self.memo.get((word, cut))
         if known is None:
-            if len(self.memo) > 200_000:
+            if len(self.memo) > 20_000:
                 self.memo.clear()
-            known, as_is = {}, self.likely(word)
-            raws: dict[str, bytes | None] = {}
-            for k in self.families:
-                back = turn_back(word, FAMILIES[k], raws=raws)
-                if back is None:
-                    if cut and FAMILIES[k][1] == "utf-8" and (back := turn_back(word, FAMILIES[k], True)) is not None:
-                        known[k] = (back, 0.0, 0)  # no evidence by itself
-                elif back == word:
-                    known[k] = known[k + 1000] = (word, 0.0, 0)
-                elif self.words.get(word, 0) >= MIN_RATIO * max(1, self.words.get(back, 0)):
-                    continue  # an established word by itself
-                elif len(word) == 1 and self.words.get(back, 0) < MIN_RATIO * self.words.get(word, 0):
-                    continue  # a sign alone has no neighbours to judge by
-                elif not any(0x80 <= ord(c) < 0xA0 or c == _LOST for c in back):
-                    known[k] = (back, self.likely(back) - as_is, 1)
-                    if FAMILIES[k][1] == "utf-8" and (again := turn_back(back, FAMILIES[k])) is not None:
-                        known[k + 1000] = (again, self.likely(again) - as_is, 1)
+            known = self.read_back(word, cut)
             if len(word) <= 200:
                 self.memo[(word, cut)] = known
         return known
 
+    def read_back(self, word: str, cut: bool) -> dict[int, tuple[str, float, int]]:
+        """family -> (word turned back, what that gains, 1 if it changed); twice as family + 1000."""
+        known, as_is = {}, self.likely(word)
+        raws: dict[str, bytes | None] = {}
+        for k in self.families:
+            back = turn_back(word, FAMILIES[k], raws=raws)
+            if back is None:
+                if cut and FAMILIES[k][1] == "utf-8" and (back := turn_back(word, FAMILIES[k], True)) is not None:
+                    known[k] = (back, 0.0, 0)  # no evidence by itself
+            elif back == word:
+                known[k] = known[k + 1000] = (word, 0.0, 0)
+            elif self.words.get(word, 0) >= MIN_RATIO * max(1, self.words.get(back, 0)):
+                continue  # an established word by itself
+            elif len(word) == 1 and self.words.get(back, 0) < MIN_RATIO * self.words.get(word, 0):
+                continue  # a sign alone has no neighbours to judge by
+            elif not any(0x80 <= ord(c) < 0xA0 or c == _LOST for c in back):
+                known[k] = (back, self.likely(back) - as_is, 1)
+                if FAMILIES[k][1] == "utf-8" and (again := turn_back(back, FAMILIES[k])) is not None:
+                    known[k + 1000] = (again, self.likely(again) - as_is, 1)
+        return known
+
     def _gain_rows(self, words: list[str]) -> np.ndarray:
         """Row of each word in ``gains``: what it gains by each transformation, -inf where it cannot be turned back."""
-        if len(self.rows) > 200_000:
+        if len(self.rows) > 100_000:
             self.rows, self.gains = {}, self.gains[:0]
         new = [w for w in words if w not in self.rows]
         if new:
             fresh = np.full((len(new), self.gains.shape[1]), -np.inf, dtype=np.float32)
             for row, w in zip(fresh, new):
-                for k, (_, gain, _) in self.readings(w, False).items():
+                for k, (_, gain, _) in self.read_back(w, False).items():
                     row[self.slot[k]] = gain
             self.rows.update(zip(new, range(len(self.gains), len(self.gains) + len(new))))
             self.gains = np.concatenate([self.gains, fresh])
@@ -319,7 +324,7 @@ def units(df: DataFrame, texts: list[str]) -> DataFrame:
     """(kind, unit, n): words with non-ASCII characters, and lines of scripts without ASCII letters that hold some, with their counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 0):
             for column in batch.columns:
                 column = column.drop_null().cast(pa.large_string())
                 lines = pc.split_pattern(column.filter(pc.invert(pc.string_is_ascii(column))), "\n").flatten()
@@ -454,7 +459,7 @@ def learn(df: DataFrame, texts: list[str]) -> Restorer:
     decoder = df.sparkSession.sparkContext.broadcast(Decoder(np.array([r["c"] for r in known_words.select("unit").mapInArrow(characters, "c INT").distinct().collect()], dtype=np.int64)))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 0):
             if batch.num_rows:
                 found = list(decoder.value.readings(batch.column(0).to_pylist()))
                 at, family, back = zip(*found) if found else ((), (), ())
@@ -552,7 +557,7 @@ def garbled_values(df: DataFrame, key: str, texts: list[str], restorer: Restorer
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fix: Restorer = shared.value
-        for batch in batches:
+        for batch in slices(batches, 1):
             at, names, out = [], [], []
             for c, name in enumerate(texts, 1):
                 column = batch.column(c).to_pylist()

@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from wrackline.llm import langid
 from wrackline.llm.boilerplate import BODY, EMPTY, Wrapper, label_input, labelled
+from wrackline.llm.counting import slices
 from wrackline.session import staged
 
 STATES = ("prose", "links", "tags", "menu")
@@ -239,7 +240,7 @@ def rate_pages(df: DataFrame, key: str, wrapper: Wrapper) -> DataFrame:
     seen = T.StructType([T.StructField("key", df.schema[key].dataType), *T.StructType.fromDDL("symbols STRING, sizes ARRAY<INT>, steps STRING").fields])
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 3):
             at, lines, page, labels = labelled(batch, shared.value)
             shown, codes, words = observe_batch(lines, page, labels)
             bounds = np.searchsorted(page[shown], np.arange(len(at) + 1)).tolist()

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wrackline.llm.boilerplate import cut_lines
+from wrackline.llm.counting import slices
 from wrackline.session import staged
 
 #: Open ends up to this number are broadcast (some 50 bytes each).
@@ -90,7 +91,7 @@ def built_lines(texts: DataFrame) -> DataFrame:
     schema = T.StructType([*T.StructType.fromDDL("u BIGINT, last BOOLEAN, open BOOLEAN, form STRING, build STRING, bare STRING").fields, T.StructField("id", texts.schema["id"].dataType)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 3):
             sites, bodies = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             lines, page = cut_lines(bodies)
             low, _ = cut_lines([t.lower().replace(s, "") if s and len(s) >= 4 else t.lower() for t, s in zip(bodies, sites)])
