@@ -129,3 +129,48 @@ def test_search(spark):
     assert sorted(r["id"] for r in near.collect()) == [1, 2]
     places = spark.createDataFrame([(1, 51.5, -0.1), (2, 48.9, 2.3)], "id int, lat double, lon double")
     assert [r["id"] for r in search.within(places, "lat", "lon", 51.4, 0.0, 50).collect()] == [1]
+
+
+def test_prefixes_of_any_number_of_lengths(spark):
+    """More distinct prefix lengths than any list limit; rows that repeat; clashing column names."""
+    listed = spark.range(1, 6000).select(F.expr("concat('p', repeat('x', cast(id as int)))").alias("prefix"))
+    df = spark.createDataFrame([("p" + "x" * 5999, 1), ("p" + "x" * 5999, 1), ("px", 2), ("q", 3), (None, 4)], "url string, id int").withColumn("_x", F.lit(0))
+    assert rows(filters.excluded_by_prefix(df, "url", listed).select("id")) == [(3,), (4,)]
+    assert rows(annotate.access_terms(df, "url", listed).select("id", "access_terms")) == [(1, "OA"), (1, "OA"), (2, "OA"), (3, "RRO"), (4, "RRO")]
+
+
+def test_file_patterns_in_blocks(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, None, None, "F-1.warc", None), (2, None, None, "G-1.warc", None)], "id int, url string, host string, source_file string, crawl_date timestamp")
+    rules = spark.createDataFrame([("source_file_matches", f"^{c}", "D", [], None) for c in "FGHIJ"], "scope string, rule_key string, collection string, collections array<string>, subject array<string>")
+    monkeypatch.setattr(annotate, "MAX_RULES", 2)
+    assert rows(annotate.matched_rules(docs, "id", "url", "host", "source_file", rules).select("id", "collection")) == [(1, "D"), (2, "D")]
+
+
+def test_strict_postcodes_types_and_hosts(spark):
+    from wrackline.functions import content_types, text, urls
+
+    codes = {"SW1A 1AA": True, "w1a1aa": True, "M1 1AE": True, "GIR 0AA": True, "QZ9 9ZZ": False, "SW1A 1CA": False, "EC1A1BB": True, "": False}
+    df = spark.createDataFrame([(c,) for c in codes], "c string")
+    assert {r[0]: r[1] for r in df.select("c", text.is_postcode(F.col("c"))).collect()} == codes
+    types = {"application/msword": "word", "application/vnd.openxmlformats-officedocument.wordprocessingml.document": "other", "image/png": "image", "imagery": "other", "application/vnd.ms-excel": "excel", "application/vnd.ms-excel.sheet": "other", "x/vnd.rn-realaudio": "other", "application/vnd.rn-realaudio": "audio", None: "other"}
+    df = spark.createDataFrame([(c,) for c in types], "c string")
+    assert {r[0]: r[1] for r in df.select("c", content_types.norm(F.col("c"))).collect()} == types
+    hosts = {"http://a_b.test/": "malformed.host", "http://ab.test/": "ab.test", "http://ab.test./": "malformed.host", "http://-a/": "malformed.host"}
+    df = spark.createDataFrame([(c,) for c in hosts], "c string")
+    assert {r[0]: r[1] for r in df.select("c", urls.host(F.col("c"))).collect()} == hosts
+
+
+def test_outlinks_of_responses_only(spark):
+    df = spark.createDataFrame([(2000, "a", ["x"], "response", "http://a/"), (2000, "a", ["x"], "revisit", "http://a/"), (2000, "a", ["y"], None, "http://a:80/p"), (2000, "a", ["y"], "response", "dns:a"), (2000, "a", None, "response", "http://a/"), (None, None, ["x"], "response", None)], "y int, h string, l array<string>, t string, u string")
+    assert rows(jobs.outlinks(df, "y", "h", "l", "t", "u")) == [(2000, "a", "x", 1), (2000, "a", "y", 1)]
+
+
+def test_long_urls_keep_their_own_id(spark):
+    from wrackline.operators import documents
+
+    schema = "warc_headers map<string,string>, http_status string, http_headers array<struct<name:string,value:string>>, payload binary"
+    heads = [{"WARC-Target-URI": f"http://a.test/{'x' * 2500}{c}", "WARC-Date": "2020-01-01T00:00:00Z", "WARC-Type": "response"} for c in "pq"]
+    heads.append({"WARC-Target-URI": "<http://a.test/foo.png%201080w>", "WARC-Date": "2020-01-01T00:00:00Z", "WARC-Type": "response"})
+    out = documents.build_documents(spark.createDataFrame([(h, "HTTP/1.1 200 OK", [], b"") for h in heads], schema)).select("id", "url", "url_norm").collect()
+    assert len({r["id"] for r in out}) == 3 and {len(r["url"]) for r in out[:2]} == {2000}
+    assert out[2]["url"] == "http://a.test/foo.png%201080w" and out[2]["url_norm"] == "http://a.test/foo.png"

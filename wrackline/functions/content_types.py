@@ -29,14 +29,14 @@ def _ladder(media: Column, names: tuple[str, ...]) -> Column:
     image, audio, video, html, pdf, word, excel, powerpoint, text, other = names
     m = F.coalesce(media, F.lit(""))
     return (
-        F.when(m.startswith("image"), image)
-        .when(m.startswith("audio") | m.contains("vnd.rn-realaudio"), audio)
-        .when(m.startswith("video") | (m == "application/mp4") | m.contains("vnd.rn-realmedia"), video)
+        F.when(m.startswith("image/"), image)
+        .when(m.startswith("audio/") | (m == "application/vnd.rn-realaudio"), audio)
+        .when(m.startswith("video/") | m.isin("application/mp4", "application/vnd.rn-realmedia"), video)
         .when(m.startswith("text/htm") | m.startswith("application/xhtml"), html)
         .when(m.startswith("application/pdf"), pdf)
-        .when(m.rlike("word"), word)
-        .when(m.rlike("excel"), excel)
-        .when(m.rlike("powerpoint"), powerpoint)
+        .when(m.endswith("word"), word)
+        .when(m.endswith("excel"), excel)
+        .when(m.endswith("powerpoint"), powerpoint)
         .when(m.startswith("text/plain"), text)
         .otherwise(other)
     )

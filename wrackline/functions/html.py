@@ -115,7 +115,7 @@ def features(page: str | None, base: str | None) -> tuple | None:
     except Exception:  # noqa: BLE001 - a broken page keeps what was read
         p.errors += 1
     lines = (" ".join(line.split()) for line in "".join(p.text).split("\n"))
-    return (p.title and " ".join(p.title.split()), p.links, p.images, list(dict.fromkeys(p.licenses)), sorted(p.elements), p.paragraph, p.published, p.meta, "\n".join(x for x in lines if x), p.errors)
+    return (p.title and " ".join(p.title.split()), list(dict.fromkeys(p.links)), list(dict.fromkeys(p.images)), list(dict.fromkeys(p.licenses)), sorted(p.elements), p.paragraph, p.published, p.meta, "\n".join(x for x in lines if x), p.errors)
 
 
 def html_features(page: Column, base: Column) -> Column:

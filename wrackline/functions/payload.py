@@ -61,12 +61,15 @@ def spaced_hex(payload: Column, n: int = 32) -> Column:
 
 
 def dechunk(data: bytes, hinted: bool = True) -> bytes:
-    """Bytes without HTTP chunk sizes, if hinted and if they look chunked; else unchanged."""
+    """Bytes without HTTP chunk sizes, if hinted and if they look chunked; else unchanged. After a faulty size the rest stays."""
     size = re.compile(rb"([0-9a-fA-F]{1,8})(?:;[^\r\n]*)?\r?\n")
     if not hinted or not size.match(data):
         return data
     out, at = [], 0
-    while m := size.match(data, at):
+    while at < len(data):
+        m = size.match(data, at)
+        if not m:  # a faulty size: what is left is kept as it is
+            return b"".join([*out, data[at:]])
         n = int(m.group(1), 16)
         if n == 0:
             return b"".join(out)
@@ -79,12 +82,32 @@ def dechunk(data: bytes, hinted: bool = True) -> bytes:
     return b"".join(out)
 
 
+def gunzip(data: bytes, limit: int) -> tuple[bytes, str | None]:
+    """(bytes of all gzip members up to a limit, error of a cut or faulty one); bytes after the last member are ignored."""
+    out, size, left = [], 0, data
+    while left[:2] == b"\x1f\x8b" and size < limit:
+        engine = zlib.decompressobj(31)
+        try:
+            out.append(engine.decompress(left, limit - size))
+        except zlib.error as e:
+            if not out:
+                raise
+            return b"".join(out), f"error in gzip member {len(out) + 1}: {e}"
+        size += len(out[-1])
+        if not engine.eof:
+            return b"".join(out), None if size >= limit else "gzip data end early"
+        left = engine.unused_data
+    if not out:
+        raise zlib.error("no gzip data")
+    return b"".join(out), None
+
+
 def decompress(data: bytes, encoding: str | None, limit: int = 1 << 28) -> tuple[bytes, str | None]:
     """(bytes, error): gzip and deflate undone; without a hint gzip is found by its magic; others are kept with an error."""
     hint = (encoding or "").strip().lower()
     try:
         if hint in ("gzip", "x-gzip") or not hint and data[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(data, limit), None
+            return gunzip(data, limit)
         if hint == "deflate":
             try:
                 return zlib.decompressobj().decompress(data, limit), None
@@ -292,12 +315,12 @@ def ctph(data: bytes) -> tuple[int, str, str]:
                 if rolling % (2 * block) == 2 * block - 1 and len(s2) < 31:
                     s2.append(_B64[h2 & 63])
                     h2 = 0x28021967
+        if block > 3 and len(s1) < 32:  # judged before the last piece is added
+            block //= 2
+            continue
         if n and (a + b + c) & 0xFFFFFFFF:
             s1.append(_B64[h1 & 63])
             s2.append(_B64[h2 & 63])
-        if block > 3 and len(s1) < 32:
-            block //= 2
-            continue
         return block, "".join(s1), "".join(s2)
 
 

@@ -11,8 +11,10 @@ from wrackline.functions import bound
 
 #: Pattern of UK postcodes in running text (a fixed value).
 POSTCODE = r"[A-Z]{1,2}[0-9R][0-9A-Z]? [0-9][ABD-HJLNP-UW-Z]{2}"
-#: Strict forms of a whole postcode.
-POSTCODE_FORMS = (r"GIR 0AA", r"[A-Z][0-9] [0-9][A-Z]{2}", r"[A-Z][0-9]{2} [0-9][A-Z]{2}", r"[A-Z]{2}[0-9] [0-9][A-Z]{2}", r"[A-Z]{2}[0-9]{2} [0-9][A-Z]{2}", r"[A-Z][0-9][A-Z] [0-9][A-Z]{2}", r"[A-Z]{2}[0-9][A-Z] [0-9][A-Z]{2}")
+#: The letters that a whole UK postcode may have at each place, and its outward forms.
+_FIRST, _SECOND, _INWARD = "[A-PR-UWYZ]", "[A-HK-Y]", "[0-9][ABD-HJLNP-UW-Z]{2}"
+POSTCODE_FORMS = (f"{_FIRST}[0-9]{{1,2}}", f"{_FIRST}{_SECOND}[0-9]{{1,2}}", f"{_FIRST}[0-9][A-HJKS-UW]", f"{_FIRST}{_SECOND}[0-9][A-Z]")
+#: Labels of sentiment scores.
 SENTIMENTS = ("Very Negative", "Negative", "Mildly Negative", "Neutral", "Mildly Positive", "Positive", "Very Positive")
 
 
@@ -50,7 +52,8 @@ def postcode_districts(text: Column) -> Column:
 
 
 def is_postcode(text: Column) -> Column:
-    return text.rlike("^(?:" + "|".join(POSTCODE_FORMS) + ")$")
+    """Whether a whole text is a valid postcode, in any case and with or without blanks before its last three signs."""
+    return text.rlike(f"(?i)^(?:(?:{'|'.join(POSTCODE_FORMS)}) *{_INWARD}|GIR *0AA)$")
 
 
 def sentiment(score: Column) -> Column:

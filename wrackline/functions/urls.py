@@ -14,13 +14,14 @@ from wrackline.functions import bound
 
 MALFORMED = "malformed.host"
 #: Public suffixes of more than one label, besides those below ``.uk``; pass your own list for a full one.
-SUFFIXES = ("co.jp", "ac.jp", "com.au", "org.au", "net.au", "co.nz", "org.nz", "com.br", "co.za", "co.in", "co.kr", "com.cn", "com.mx", "com.ar", "com.tr", "googleapis.com", "blogspot.com", "blogspot.dk", "blogspot.co.uk", "github.io", "co.example", "org.test")
+SUFFIXES = ("co.jp", "ac.jp", "com.au", "org.au", "net.au", "co.nz", "org.nz", "com.br", "co.za", "co.in", "co.kr", "com.cn", "com.mx", "com.ar", "com.tr", "googleapis.com", "blogspot.com", "blogspot.dk", "blogspot.co.uk", "github.io")
 
-_HOST = r"^(?:[A-Za-z0-9_](?:[A-Za-z0-9_-]{0,61}[A-Za-z0-9_])?\.)*[A-Za-z0-9_](?:[A-Za-z0-9_-]{0,61}[A-Za-z0-9_])?\.?$"
+_HOST = r"^(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)*[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?$"
 
 
 # --- canonical form ---------------------------------------------------------
 
+# fixed values: session identifiers that canonical URLs lack
 _SESSION = (
     re.compile(r"^(.+)(?:jsessionid=[0-9a-zA-Z]{32})(?:&(.*))?$", re.I),
     re.compile(r"^(.+)(?:phpsessid=[0-9a-zA-Z]{32})(?:&(.*))?$", re.I),

@@ -2,7 +2,7 @@
 
 Rules and ranges are curated by hand. They are broadcast only after a check of
 their number (``MAX_RULES``); beyond it the equality scopes are ordinary joins
-and the others are refused, as no equality key exists for them.
+and file patterns, which have no equality key, are compared in blocks.
 
 Defined results: null rule keys match nothing; a duplicate rule adds nothing;
 a collection without a range is never given; range ends are exclusive and null
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wrackline.functions import urls
+from wrackline.operators.prefixes import values_with_prefix
 
 MAX_RULES = 50_000
 
@@ -48,11 +49,14 @@ def matched_rules(df: DataFrame, key: str, url: str, host: str, source_file: str
     parents = rows.where("_host IS NOT NULL").select(key, F.explode(urls.host_levels(F.col("_host")) if host_suffix else F.array("_host")).alias("_level"))
     out = out.unionByName(parents.join(below, F.col("_level") == below["_key_host"]).select(key, *picked))
     patterns = rules.where("scope = 'source_file_matches'")
-    if patterns.count() > MAX_RULES:
-        raise ValueError("too many file patterns to compare each file name with")
-    # file names repeat over captures: patterns meet each name once
+    # file names repeat over captures: patterns meet each name once, in as many broadcast blocks as their number asks for
     names = rows.where("_file IS NOT NULL").select("_file").distinct()
-    hits = names.join(F.broadcast(patterns), F.expr("_file RLIKE rule_key")).select(F.col("_file").alias("_hit"), *picked)
+    blocks = -(-patterns.count() // MAX_RULES)
+    hits = None
+    for k in range(max(1, blocks)):
+        block = patterns if blocks <= 1 else patterns.where(F.pmod(F.xxhash64("rule_key"), F.lit(blocks)) == k)
+        found = names.join(F.broadcast(block), F.expr("_file RLIKE rule_key")).select(F.col("_file").alias("_hit"), *picked)
+        hits = found if hits is None else hits.unionByName(found)
     out = out.unionByName(rows.join(hits, F.col("_file") == F.col("_hit")).select(key, *picked))
     return out
 
@@ -73,14 +77,9 @@ def annotate(df: DataFrame, key: str, url: str, host: str, source_file: str, dat
 
 def access_terms(df: DataFrame, surt_key: str, prefixes: DataFrame, prefix: str = "prefix") -> DataFrame:
     """``df`` with ``access_terms``: OA where a listed SURT prefix begins the row's SURT, else RRO."""
-    listed = prefixes.where(F.col(prefix).isNotNull() & (F.col(prefix) != "")).select(F.col(prefix).alias("_x")).distinct()
-    lengths = [r[0] for r in listed.select(F.length("_x")).distinct().limit(4096).collect()]
-    if not lengths:
-        return df.withColumn("access_terms", F.lit("RRO"))
-    keyed = df.withColumn("_row", F.monotonically_increasing_id())
-    heads = keyed.where(F.col(surt_key).isNotNull()).select("_row", F.explode(F.transform(F.array(*map(F.lit, lengths)), lambda n: F.col(surt_key).substr(F.lit(1), n))).alias("_x"))
-    hit = heads.join(_small(listed), "_x", "left_semi").select("_row").distinct().withColumn("_oa", F.lit(True))
-    return keyed.join(hit, "_row", "left").withColumn("access_terms", F.when(F.col("_oa"), "OA").otherwise("RRO")).drop("_row", "_oa")
+    hit = values_with_prefix(df, surt_key, prefixes, prefix).withColumn("_oa", F.lit(True))
+    joined = df.join(hit, df[surt_key] == hit["_v"], "left")
+    return joined.withColumn("access_terms", F.when(F.col("_oa"), "OA").otherwise("RRO")).drop("_v", "_oa")
 
 
 def lookup(df: DataFrame, on: str, table: DataFrame, key: str, value: str, out: str) -> DataFrame:

@@ -11,6 +11,10 @@ from wrackline.functions import bound, content_types, dates, html, payload, text
 from wrackline.operators import filters
 
 
+#: URLs are cut to this length; normalised ones lose a size that a srcset left behind.
+MAX_URL, URL_REWRITES = 2000, ((r"%20[0-9.]+[wx]$", ""),)
+
+
 @dataclass(frozen=True)
 class Config:
     """What a run keeps and adds."""
@@ -28,6 +32,7 @@ class Config:
     hash_stage: str = "dechunked"
     store_text: bool = True
     max_values: dict[str, int] = field(default_factory=dict)
+    suffixes: tuple[str, ...] = urls.SUFFIXES
 
 
 def http_header(headers: Column, name: str) -> Column:
@@ -41,14 +46,14 @@ def http_values(headers: Column, *names: str) -> Column:
     return F.transform(F.filter(headers, lambda h: F.lower(h["name"]).isin(*lower)), lambda h: h["value"])
 
 
-def envelope(records: DataFrame) -> DataFrame:
+def envelope(records: DataFrame, suffixes: tuple[str, ...] = urls.SUFFIXES) -> DataFrame:
     """Columns from record and HTTP headers; no payload is read, so a scan may leave it out."""
     h = F.col("warc_headers")
-    url = text.adjust(urls.sanitise_header(h["WARC-Target-URI"]), 2000, ((r"%20\d+w$", ""), (r"%201080w$", "")))
+    target = urls.sanitise_header(h["WARC-Target-URI"])
     stamp = h["WARC-Date"]
-    return records.withColumns({"url": url, "_stamp": stamp}).withColumns(
+    return records.withColumns({"url": text.adjust(target, MAX_URL), "_target": target, "_stamp": stamp}).withColumns(
         {
-            "id": payload.capture_id(F.col("_stamp"), F.col("url")),
+            "id": payload.capture_id(F.col("_stamp"), F.col("_target")),
             "crawl_date": dates.crawl_date(F.col("_stamp")),
             "wayback_date": dates.wayback_date(F.col("_stamp")),
             "record_type": h["WARC-Type"],
@@ -68,11 +73,11 @@ def envelope(records: DataFrame) -> DataFrame:
         {
             "crawl_year": F.year("crawl_date"),
             "parse_error": F.when(F.col("crawl_date").isNull(), F.concat(F.lit("unparsable date: "), F.coalesce("_stamp", F.lit("none")))),
-            "domain": urls.private_suffix(F.col("host")),
-            "public_suffix": urls.public_suffix(F.col("host")),
+            "domain": urls.private_suffix(F.col("host"), suffixes),
+            "public_suffix": urls.public_suffix(F.col("host"), suffixes),
             "host_surt": urls.host_surts(F.col("host")),
         }
-    ).drop("_stamp")
+    ).drop("_stamp", "_target")
 
 
 def _settled(df: DataFrame) -> DataFrame:
@@ -87,7 +92,7 @@ def build_documents(records: DataFrame, config: Config | None = None) -> DataFra
     its envelope and served type only. Scripts and style sheets get no text.
     """
     config = config or Config()
-    docs = filters.keep_captures(_settled(envelope(records)), {"record_types": list(config.record_types), "protocols": list(config.protocols), "url_exclude": list(config.url_exclude), "statuses": list(config.statuses)})
+    docs = filters.keep_captures(_settled(envelope(records, config.suffixes)), {"record_types": list(config.record_types), "protocols": list(config.protocols), "url_exclude": list(config.url_exclude), "statuses": list(config.statuses)})
     revisit = filters.is_revisit(F.col("record_type"))
     head = F.col("http_headers")
     decoded = payload.decoded_payload(F.when(~revisit, F.col("payload")), http_header(head, "transfer-encoding"), http_header(head, "content-encoding"), config.hash_stage, config.max_payload_bytes)
@@ -130,8 +135,8 @@ def build_documents(records: DataFrame, config: Config | None = None) -> DataFra
             "elements_used": F.col("_page.elements"),
             "license_url": F.col("_page.licenses"),
             "links_images": F.col("_page.links_images"),
-            "links_domains": F.array_distinct(F.transform(hosts, lambda h: urls.private_suffix(h))),
-            "links_public_suffixes": F.array_distinct(F.array_compact(F.transform(hosts, lambda h: urls.public_suffix(h)))),
+            "links_domains": F.array_distinct(F.transform(hosts, lambda h: urls.private_suffix(h, config.suffixes))),
+            "links_public_suffixes": F.array_distinct(F.array_compact(F.transform(hosts, lambda h: urls.public_suffix(h, config.suffixes)))),
             "links_hosts_surts": F.array_distinct(F.flatten(F.transform(hosts, urls.host_surts))),
             "postcode": text.postcodes(F.coalesce(body, F.lit(""))),
             "postcode_district": text.postcode_districts(F.coalesce(body, F.lit(""))),
@@ -141,7 +146,7 @@ def build_documents(records: DataFrame, config: Config | None = None) -> DataFra
         }
     )
     if config.normalise_urls:
-        docs = docs.withColumns({"url_norm": urls.canonical_url(F.col("url")), "redirect_to_norm": urls.resolve_url(F.col("url"), F.col("location"))})
+        docs = docs.withColumns({"url_norm": text.adjust(urls.canonical_url(F.col("url")), MAX_URL, URL_REWRITES), "redirect_to_norm": urls.resolve_url(F.col("url"), F.col("location"))})
     for name, most in config.max_values.items():
         docs = docs.withColumn(name, text.limit_values(F.col(name), most))
     if not config.store_text:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wrackline.functions import urls
+from wrackline.operators.prefixes import values_with_prefix
 
 
 def record_type_in(record_type: Column, types: Sequence[str]) -> Column:
@@ -74,7 +75,7 @@ def is_revisit(record_type: Column) -> Column:
 
 def text_kept(media: Column) -> Column:
     """False for scripts and style sheets, whose text is dropped."""
-    return ~F.coalesce(media, F.lit("")).rlike(r"(?:javascript|ecmascript|css)")
+    return ~F.coalesce(media, F.lit("")).rlike(r"^(?:application/javascript|text/javascript|text/css)")
 
 
 def cdx_kept(line: Column) -> Column:
@@ -89,26 +90,14 @@ def log_line_valid(tokens: Column) -> Column:
 
 
 def has_outlinks(record_type: Column, url: Column) -> Column:
-    return (record_type == "response") & url.rlike(r"^https?://([^/:]+)(:[0-9]+)?/.*$")
-
-
-def excluded_by_prefix(df: DataFrame, url: str, prefixes: DataFrame, prefix: str = "prefix", max_prefixes: int = 100_000) -> DataFrame:
-    """Rows whose URL begins with none of the listed prefixes.
-
-    Candidates of a URL are its own beginnings at the lengths that occur in the
-    list, so this is an anti join on equal text, not a comparison with each
-    prefix. The list of lengths is one small aggregate; the list itself is only
-    broadcast up to ``max_prefixes``.
-    """
-    listed = prefixes.where(F.col(prefix).isNotNull() & (F.col(prefix) != "")).select(F.col(prefix).alias("_x")).distinct()
-    lengths = [r[0] for r in listed.select(F.length("_x")).distinct().limit(4096).collect()]
-    if not lengths:
-        return df
-    side = F.broadcast(listed) if listed.count() <= max_prefixes else listed
-    keyed = df.withColumn("_row", F.monotonically_increasing_id())
-    heads = keyed.where(F.col(url).isNotNull()).select("_row", F.explode(F.transform(F.array(*map(F.lit, lengths)), lambda n: F.col(url).substr(F.lit(1), n))).alias("_x"))
-    hit = heads.join(side, "_x", "left_semi").select("_row").distinct()
-    return keyed.join(hit, "_row", "left_anti").drop("_row")
+    """Responses (and records of archives that name no type) of http URLs with a path."""
+    return F.coalesce(record_type, F.lit("arc")).isin("response", "arc") & F.coalesce(url.rlike(r"^https?://([^/:]+)(:[0-9]+)?/.*$"), F.lit(False))
+
+
+def excluded_by_prefix(df: DataFrame, url: str, prefixes: DataFrame, prefix: str = "prefix") -> DataFrame:
+    """Rows whose URL begins with none of the listed prefixes; rows without a URL stay."""
+    hit = values_with_prefix(df, url, prefixes, prefix)
+    return df.join(hit, df[url] == hit["_v"], "left_anti")
 
 
 def keep_captures(df: DataFrame, config: dict) -> DataFrame:

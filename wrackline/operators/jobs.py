@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wrackline.functions import dates, urls
+from wrackline.functions import urls
 from wrackline.operators import filters
 
 
@@ -62,16 +62,16 @@ def datasets(df: DataFrame, year: str, host: str, formats: Column, linked: str)
     return df.select(F.col(year).alias("year"), F.explode(all_).alias("d")).select("d.dataset", "year", "d.value").groupBy("dataset", "year", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def outlinks(df: DataFrame, year: str, host: str, linked: str) -> DataFrame:
-    """(year, host, linked_host, n)."""
-    rows = df.where(F.col(host).isNotNull()).select(year, host, F.explode(linked).alias("linked_host"))
+def outlinks(df: DataFrame, year: str, host: str, linked: str, record_type: str, url: str) -> DataFrame:
+    """(year, host, linked_host, n) of responses of http URLs."""
+    rows = df.where(F.col(host).isNotNull() & filters.has_outlinks(F.col(record_type), F.col(url))).select(year, host, F.explode(linked).alias("linked_host"))
     return rows.groupBy(year, host, "linked_host").agg(F.count(F.lit(1)).alias("n"))
 
 
-def inlink_suffixes(df: DataFrame, year: str, host: str, linked: str) -> DataFrame:
+def inlink_suffixes(df: DataFrame, year: str, host: str, linked: str, suffixes: tuple[str, ...] = urls.SUFFIXES) -> DataFrame:
     """(year, target_suffix, source_suffix, n): each page counts once per target suffix."""
-    target = F.array_distinct(F.transform(F.col(linked), lambda h: urls.public_suffix(h)))
-    rows = df.where(F.col(host).isNotNull()).select(F.col(year), urls.public_suffix(F.col(host)).alias("source_suffix"), F.explode(target).alias("target_suffix"))
+    target = F.array_distinct(F.transform(F.col(linked), lambda h: urls.public_suffix(h, suffixes)))
+    rows = df.where(F.col(host).isNotNull()).select(F.col(year), urls.public_suffix(F.col(host), suffixes).alias("source_suffix"), F.explode(target).alias("target_suffix"))
     return rows.groupBy(year, "target_suffix", "source_suffix").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -121,7 +121,7 @@ def facet_exists(df: DataFrame, field: Column, name: str = "value") -> DataFrame
 
 
 def best_per_group(df: DataFrame, group: str, order: Sequence[Column]) -> DataFrame:
-    """One row per group, the first by ``order``, as an algebraic minimum: no sort, hot groups reduce map-side."""
+    """One row per group, the first by ``order``, as an algebraic minimum: hot groups reduce map-side."""
     picked = F.min_by(F.struct(*df.columns), F.struct(*order))
     return df.where(F.col(group).isNotNull()).groupBy(F.col(group).alias("_g")).agg(picked.alias("_row")).select("_row.*")
 
@@ -153,10 +153,7 @@ def split_partitions(df: DataFrame, key: str, points: Sequence[str]) -> DataFram
     return df.withColumn("part", F.size(F.filter(F.array(*[F.lit(p) for p in sorted(points)]).cast("array<string>"), lambda p: p <= F.col(key))))
 
 
-def yearly_captures(df: DataFrame) -> DataFrame:
-    """(crawl_year, host, n)."""
-    return df.groupBy("crawl_year", "host").agg(F.count(F.lit(1)).alias("n"))
-
-
-def year_of(stamp: Column) -> Column:
-    return dates.year(stamp)
+def shuffled(df: DataFrame, partitions: int, seed: int = 1231241245) -> DataFrame:
+    """Rows spread evenly over ``partitions`` in an order without regard to their content, the same at every run."""
+    order = F.xxhash64(F.lit(seed), F.to_json(F.struct(*df.columns)))
+    return df.withColumn("_o", order).repartition(partitions, "_o").sortWithinPartitions("_o").drop("_o")

@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 
 from wrackline.functions import content_types, dates, payload, text, urls
 from wrackline.operators import annotate, captures, documents, filters, jobs, names, nearest, search
-from wrackline.session import staged, table
+from wrackline.session import new_folder, staged, table
 from wrackline.sinks import writers
+from wrackline.streaming import streams
 
 QUERIES = {}
 SQL: dict[str, str] = {}
 
 
+#: Suffixes of two labels of the invented hosts of the test tables.
+TEST_SUFFIXES = ("co.example", "org.test")
+
+
 def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
@@ -27,7 +32,7 @@ def query(sql: str | None = None):
 # --- URL and host functions (F7-F15, C7-C9) ----------------------------------------------
 
 _HOST = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1))"
-_VALID = "regexp_matches(h, '^(?:[a-z0-9_](?:[a-z0-9_-]{0,61}[a-z0-9_])?\\.)*[a-z0-9_](?:[a-z0-9_-]{0,61}[a-z0-9_])?\\.?$') AND length(h) <= 255"
+_VALID = "regexp_matches(h, '^(?:[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?\\.)*[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?$') AND length(h) <= 255"
 
 
 @query(
@@ -60,7 +65,7 @@ def surt_level_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT host, CASE WHEN host = 'malformed.host' THEN NULL WHEN list_slice(string_split(host, '.'), -2, -1) IN (['co', 'example'], ['org', 'test']) THEN array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') ELSE list_last(string_split(host, '.')) END AS public_suffix, count(*) AS n FROM mementos WHERE host IS NOT NULL GROUP BY 1, 2")
 def host_suffixes(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "mementos").where("host IS NOT NULL").groupBy("host").agg(F.count(F.lit(1)).alias("n")).select("host", urls.public_suffix(F.col("host")).alias("public_suffix"), "n")
+    return table(spark, d, "mementos").where("host IS NOT NULL").groupBy("host").agg(F.count(F.lit(1)).alias("n")).select("host", urls.public_suffix(F.col("host"), TEST_SUFFIXES).alias("public_suffix"), "n")
 
 
 @query("SELECT id_long, regexp_replace(strftime(crawl_date, '%Y%m%d%H%M%S'), '[^0-9]', '', 'g') || '/' || base64(unhex(md5(url))) AS id FROM mementos WHERE url IS NOT NULL")
@@ -89,7 +94,7 @@ def url_keys(spark: SparkSession, d: str) -> DataFrame:
 # --- text functions (F20, F24, F25, T1-T5) -------------------------------------------------
 
 
-@query("SELECT doc_id, nullif(substr(trim(regexp_replace(regexp_replace(coalesce(text, ''), '[\\x00-\\x1f\\x7f]', '', 'g'), '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g')), 1, 200), '') AS adjusted FROM documents")
+@query("SELECT doc_id, nullif(substr(trim(regexp_replace(regexp_replace(coalesce(text, ''), '[\\x00-\\x1f\\x7f]', '', 'g'), '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g'), ' '), 1, 200), '') AS adjusted FROM documents")
 def text_adjust(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", text.adjust(F.col("text"), 200).alias("adjusted"))
 
@@ -109,18 +114,25 @@ def title_shingles(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "mementos").where("title IS NOT NULL").select("id_long", text.shingles(text.tokens(F.col("title")), 2, 3).alias("shingles"))
 
 
-@query("SELECT p AS postcode, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(list_distinct(regexp_extract_all(content, '[A-Z]{1,2}[0-9R][0-9A-Z]? [0-9][ABD-HJLNP-UW-Z]{2}'))) AS p FROM mementos WHERE content IS NOT NULL) GROUP BY p")
+@query(
+    """WITH t AS (SELECT concat('Send it to ', substr('ABDEGHLNS', CAST(c_custkey % 9 + 1 AS INT), 1), c_custkey % 10, ' ', c_nationkey % 10, 'AB', ', ', substr('KLMNO', CAST(c_custkey % 5 + 1 AS INT), 1), 'T', c_custkey % 7 + 1, ' 1QX or KT1 1QV.') AS text FROM customer)
+        SELECT p AS postcode, split_part(p, ' ', 1) AS district, CAST(count(*) AS BIGINT) AS n
+        FROM (SELECT unnest(list_distinct(regexp_extract_all(text, '[A-Z]{1,2}[0-9R][0-9A-Z]? [0-9][ABD-HJLNP-UW-Z]{2}'))) AS p FROM t) GROUP BY ALL"""
+)
 def postcode_counts(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "mementos").where("content IS NOT NULL").select(F.explode(text.postcodes(F.col("content"))).alias("postcode")).groupBy("postcode").agg(F.count(F.lit(1)).alias("n"))
+    """Postcodes in texts made of customers' numbers; the test tables hold none."""
+    letter = lambda letters, n: F.substring(F.lit(letters), (F.col("c_custkey") % n + 1).cast("int"), F.lit(1))
+    made = F.concat(F.lit("Send it to "), letter("ABDEGHLNS", 9), F.col("c_custkey") % 10, F.lit(" "), F.col("c_nationkey") % 10, F.lit("AB, "), letter("KLMNO", 5), F.lit("T"), F.col("c_custkey") % 7 + 1, F.lit(" 1QX or KT1 1QV."))
+    found = table(spark, d, "customer").select(F.explode(text.postcodes(made)).alias("postcode"))
+    return found.select("postcode", F.get(text.postcode_districts(F.col("postcode")), F.lit(0)).alias("district")).groupBy("postcode", "district").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- content types (C13, C21) ---------------------------------------------------------------
 
-_LADDER = """CASE WHEN starts_with(m, 'image') THEN 'image' WHEN starts_with(m, 'audio') OR contains(m, 'vnd.rn-realaudio') THEN 'audio'
-    WHEN starts_with(m, 'video') OR m = 'application/mp4' OR contains(m, 'vnd.rn-realmedia') THEN 'video'
-    WHEN starts_with(m, 'text/htm') OR starts_with(m, 'application/xhtml') THEN 'html' WHEN starts_with(m, 'application/pdf') THEN 'pdf'
-    WHEN contains(m, 'word') THEN 'word' WHEN contains(m, 'excel') THEN 'excel' WHEN contains(m, 'powerpoint') THEN 'powerpoint'
-    WHEN starts_with(m, 'text/plain') THEN 'text' ELSE 'other' END"""
+_LADDER = """CASE WHEN regexp_matches(m, '^image/') THEN 'image' WHEN regexp_matches(m, '^audio/|^application/vnd\\.rn-realaudio$') THEN 'audio'
+    WHEN regexp_matches(m, '^video/|^application/(mp4|vnd\\.rn-realmedia)$') THEN 'video' WHEN regexp_matches(m, '^(text/htm|application/xhtml)') THEN 'html'
+    WHEN regexp_matches(m, '^application/pdf') THEN 'pdf' WHEN regexp_matches(m, 'word$') THEN 'word' WHEN regexp_matches(m, 'excel$') THEN 'excel'
+    WHEN regexp_matches(m, 'powerpoint$') THEN 'powerpoint' WHEN regexp_matches(m, '^text/plain') THEN 'text' ELSE 'other' END"""
 
 
 @query(f"SELECT mime, {_LADDER} AS norm, count(*) AS n FROM (SELECT mime, coalesce(mime, '') AS m FROM cdx) GROUP BY ALL")
@@ -304,9 +316,9 @@ def yearly_datasets(spark: SparkSession, d: str) -> DataFrame:
     return jobs.datasets(table(spark, d, "mementos"), "crawl_year", "host", formats, "links_hosts")
 
 
-@query("SELECT crawl_year, host, linked_host, count(*) AS n FROM (SELECT crawl_year, host, unnest(links_hosts) AS linked_host FROM mementos WHERE host IS NOT NULL) GROUP BY ALL")
+@query("SELECT crawl_year, host, linked_host, count(*) AS n FROM (SELECT crawl_year, host, unnest(links_hosts) AS linked_host FROM mementos WHERE host IS NOT NULL AND coalesce(record_type, 'arc') IN ('response', 'arc') AND regexp_matches(url, '^https?://[^/:]+(:[0-9]+)?/')) GROUP BY ALL")
 def outlink_counts(spark: SparkSession, d: str) -> DataFrame:
-    return jobs.outlinks(table(spark, d, "mementos"), "crawl_year", "host", "links_hosts")
+    return jobs.outlinks(table(spark, d, "mementos"), "crawl_year", "host", "links_hosts", "record_type", "url")
 
 
 _SUFFIX = "CASE WHEN {h} = 'malformed.host' THEN NULL WHEN list_slice(string_split({h}, '.'), -2, -1) IN (['co', 'example'], ['org', 'test']) THEN array_to_string(list_slice(string_split({h}, '.'), -2, -1), '.') ELSE list_last(string_split({h}, '.')) END"
@@ -314,7 +326,7 @@ _SUFFIX = "CASE WHEN {h} = 'malformed.host' THEN NULL WHEN list_slice(string_spl
 
 @query(f"SELECT crawl_year, target_suffix, source_suffix, count(*) AS n FROM (SELECT DISTINCT id_long, crawl_year, {_SUFFIX.format(h='host')} AS source_suffix, {_SUFFIX.format(h='l')} AS target_suffix FROM (SELECT id_long, crawl_year, host, unnest(links_hosts) AS l FROM mementos WHERE host IS NOT NULL)) GROUP BY ALL")
 def inlink_suffix_counts(spark: SparkSession, d: str) -> DataFrame:
-    return jobs.inlink_suffixes(table(spark, d, "mementos"), "crawl_year", "host", "links_hosts")
+    return jobs.inlink_suffixes(table(spark, d, "mementos"), "crawl_year", "host", "links_hosts", TEST_SUFFIXES)
 
 
 @query("SELECT DISTINCT CAST(wayback_date AS VARCHAR) || '/' || url AS capture, unnest(regexp_extract_all(substr(content, 1, 1048576), '\\b(?:19|20)\\d\\d\\b')) AS match FROM mementos WHERE content IS NOT NULL AND url IS NOT NULL AND wayback_date IS NOT NULL")
@@ -430,10 +442,23 @@ def text_ngrams(spark: SparkSession, d: str) -> DataFrame:
 # --- payloads (C1-C21, X2-X8) ----------------------------------------------------------------------------
 
 
-@query()
+@query("SELECT id_long, lower(hex(payload[1:4])) AS first_bytes, octet_length(payload) AS length FROM warc_records")
 def payload_first_bytes(spark: SparkSession, d: str) -> DataFrame:
     p = F.col("payload")
-    return table(spark, d, "warc_records").select("id_long", payload.first_bytes(p).alias("first_bytes"), F.length(p).alias("length"), payload.payload_digest(p).alias("digest"), payload.sniffed_type(p).alias("sniffed"))
+    return table(spark, d, "warc_records").select("id_long", F.lower(payload.first_bytes(p)).alias("first_bytes"), F.length(p).cast("bigint").alias("length"))
+
+
+@query()
+def payload_types(spark: SparkSession, d: str) -> DataFrame:
+    """Digest and sniffed type of every payload."""
+    p = F.col("payload")
+    return table(spark, d, "warc_records").select("id_long", payload.payload_digest(p).alias("digest"), payload.sniffed_type(p).alias("sniffed"))
+
+
+@query()
+def shuffled_index(spark: SparkSession, d: str) -> DataFrame:
+    """Index lines spread evenly without regard to their keys."""
+    return jobs.shuffled(table(spark, d, "cdx"), 8)
 
 
 @query()
@@ -448,10 +473,19 @@ def record_envelopes(spark: SparkSession, d: str) -> DataFrame:
     return documents.envelope(table(spark, d, "warc_records")).select("id_long", "url", "status_code")
 
 
-@query()
+@query(
+    """WITH c AS (SELECT regexp_extract(original, '^[A-Za-z]+://([^/?#:]+)', 1) AS h, original AS url, CAST(wayback_date AS VARCHAR) AS w FROM cdx
+                  WHERE regexp_matches(regexp_extract(original, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1), '^/?$|^/index\\.[a-z]+$') AND original LIKE '%://%'),
+             p AS (SELECT *, string_split(lower(h), '.') AS l, concat_ws('-', substr(w, 1, 4), substr(w, 5, 2), substr(w, 7, 2)) || 'T' || concat_ws(':', substr(w, 9, 2), substr(w, 11, 2), substr(w, 13, 2)) || 'Z' AS d FROM c),
+             q AS (SELECT *, array_to_string(list_slice(l, CASE WHEN list_slice(l, -2, -1) IN (['co', 'example'], ['org', 'test']) THEN -3 ELSE -2 END, -1), '.') AS domain, w || '/' || base64(unhex(md5(url))) AS id, replace(replace(replace(url, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS u FROM p)
+        SELECT '<record><header><identifier>' || id || '</identifier><datestamp>' || d || '</datestamp></header><metadata><oai_dc:dc><dc:title>' || domain || '</dc:title><dc:identifier>' || u || '</dc:identifier><dc:date>' || d
+               || '</dc:date><dc:source>' || domain || '</dc:source></oai_dc:dc></metadata></record>' AS value FROM q"""
+)
 def oai_slash_pages(spark: SparkSession, d: str) -> DataFrame:
-    """Dublin Core records of slash pages."""
-    return writers.oai_records(table(spark, d, "mementos"))
+    """Dublin Core records of the slash pages in the index."""
+    url, stamp = F.col("original"), F.col("wayback_date").cast("string")
+    rows = table(spark, d, "cdx").select(payload.capture_id(stamp, url).alias("id"), url.alias("url"), urls.url_type(url).alias("url_type"), urls.private_suffix(urls.host(url), TEST_SUFFIXES).alias("domain"), F.to_timestamp(stamp, "yyyyMMddHHmmss").alias("crawl_date"), F.lit(None).cast("string").alias("title"))
+    return writers.oai_records(rows)
 
 
 @query()
@@ -478,6 +512,38 @@ def event_sessions(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy(F.session_window("ts", "30 minutes 1 microsecond").alias("w"), "user_id").agg(F.count(F.lit(1)).alias("n")).select("user_id", F.col("w.start").alias("start"), "n")
 
 
+# --- the same as streams over what is there (2.14) --------------------------------------------------------
+
+
+@query("SELECT time_bucket(INTERVAL '1 hour', ts) AS start, time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS \"end\", event_type, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY ALL")
+def streamed_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Captures per hour and type from a stream that runs over all files there are, in complete mode."""
+    counted = streams.run_to_folder(streams.captures_per_window(_event_stream(spark, d), "ts", ["event_type"], "1 hour"), new_folder(spark, "streamed-windows"), "complete")
+    return counted.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
+
+
+@query("SELECT DISTINCT event_id, user_id, event_type FROM events WHERE ts IS NOT NULL")
+def streamed_first_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The first row of each event from a stream that drops repeats within the watermark."""
+    first = streams.without_duplicates(_event_stream(spark, d), ["event_id"], "ts")
+    return streams.run_to_folder(first.select("event_id", "user_id", "event_type"), new_folder(spark, "streamed-first"))
+
+
+@query("SELECT event_id, value FROM events e WHERE NOT EXISTS (SELECT 1 FROM annotation_rules r WHERE r.rule_key <> '' AND starts_with(e.event_type, substr(r.rule_key, 1, 1)))")
+def streamed_exclusions(spark: SparkSession, d: str) -> DataFrame:
+    """Events whose type begins with none of some prefixes that are read anew for each micro-batch."""
+    out = new_folder(spark, "streamed-exclusions")
+    load = lambda: table(spark, d, "annotation_rules").where("rule_key <> ''").select(F.substring("rule_key", 1, 1).alias("prefix"))
+    kept = lambda rows, listed: filters.excluded_by_prefix(rows, "event_type", listed)
+    write = lambda rows, number: rows.select("event_id", "value").write.mode("append").parquet(f"{out}/out")
+    streams.with_reloaded_exclusions(_event_stream(spark, d), load, kept, write, f"{out}/progress").awaitTermination()
+    return spark.read.schema("event_id bigint, value double").parquet(f"{out}/out")
+
+
+def _event_stream(spark: SparkSession, d: str) -> DataFrame:
+    return streams.landing(spark, f"{d}/events.parque[t]", table(spark, d, "events").schema).where("ts IS NOT NULL").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 # --- plain relational coverage on the star schema ----------------------------------------------------------
 
 
@@ -488,9 +554,9 @@ def order_cube(spark: SparkSession, d: str) -> DataFrame:
     return joined.withColumn("y", F.year("o_orderdate")).cube("n_name", "y").agg(F.count(F.lit(1)).alias("orders"), F.sum("amount").alias("amount"))
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
-def customers_without_orders(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "customer").join(table(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')")
+def customers_without_urgent_orders(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "customer").join(table(spark, d, "orders").where("o_orderpriority = '1-URGENT'"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 
 
 @query("SELECT l_orderkey, l_linenumber, rank() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS r FROM lineitem QUALIFY r <= 3")

@@ -38,6 +38,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A fresh path below the shared folder; it is dropped at exit."""
+    path = f"{shared_dir(spark)}/wrackline/{label}-{uuid.uuid4().hex}"
+    _STAGED.append((spark, path))
+    return path
+
+
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -45,9 +52,8 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     recomputation, and makes an intermediate that is used twice run once.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/wrackline/{label}-{uuid.uuid4().hex}"
+    path = new_folder(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    _STAGED.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 

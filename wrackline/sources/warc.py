@@ -2,12 +2,17 @@
 
 ``spark.read.format("warc").load(path)`` after :func:`register`. One partition
 per file (a compressed archive cannot be split) unless it is an uncompressed
-WARC larger than ``splitBytes``, which is cut at record starts. Options:
-``includePayload`` (false leaves payloads null, for statistics and indexes),
-``maxPayloadBytes`` (payloads are cut beyond), ``recordTypes`` (comma list, read
+WARC larger than ``splitBytes``, which is cut at record starts, found by walking
+the records' lengths from the file's begin. Options: ``includePayload`` (false
+leaves payloads null, for statistics and indexes), ``maxPayloadBytes`` (payloads
+are cut beyond, and no more is held in memory), ``recordTypes`` (comma list, read
 before payloads are copied), ``pathGlobFilter``.
 
-Empty files are skipped. A record that cannot be read becomes a row with
+The source reads folders that every executor sees at the same path.
+:func:`load_archives` reads from any file system that Spark knows, by its binary
+file source (files of less than 2 GB).
+
+Header names are matched whatever their case. Empty files are skipped. A record that cannot be read becomes a row with
 ``error``; reading goes on at the next record, or ends with the file.
 """
 
@@ -24,7 +29,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputPartition, DataSourceStreamReader
 
 SCHEMA = T.StructType(
     [
@@ -44,6 +49,37 @@ SCHEMA = T.StructType(
 )
 
 
+#: Header names of the format in their own spelling.
+_NAMES = {n.lower(): n for n in ("WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length", "Content-Type", "WARC-Concurrent-To", "WARC-Block-Digest", "WARC-Payload-Digest", "WARC-IP-Address", "WARC-Refers-To", "WARC-Refers-To-Target-URI", "WARC-Refers-To-Date", "WARC-Target-URI", "WARC-Truncated", "WARC-Warcinfo-ID", "WARC-Filename", "WARC-Profile", "WARC-Identified-Payload-Type", "WARC-Segment-Number", "WARC-Segment-Origin-ID", "WARC-Segment-Total-Length")}
+
+
+#: HTTP headers take at most so many bytes of a block.
+_HEAD = 1 << 16
+
+
+class _Inflated(io.RawIOBase):
+    """The bytes of one gzip member, inflated as they are read."""
+
+    def __init__(self, members: _Members):
+        self.members, self.engine, self.left = members, zlib.decompressobj(31), b""
+
+    def readable(self):
+        return True
+
+    def readinto(self, into):
+        while not self.left and not self.engine.eof:
+            packed = self.engine.unconsumed_tail or self.members.take()
+            if not packed:
+                break
+            self.left = self.engine.decompress(packed, 1 << 18)
+            if self.engine.eof:
+                self.members.buffer = self.engine.unused_data
+        n = min(len(into), len(self.left))
+        into[:n] = self.left[:n]
+        self.left = self.left[n:]
+        return n
+
+
 class _Members:
     """Reads a gzip file member by member, or a plain file, and tells each record's offset."""
 
@@ -54,6 +90,11 @@ class _Members:
         file.seek(start)
         self.buffer, self.at = b"", start
 
+    def take(self) -> bytes:
+        """The next packed bytes."""
+        out, self.buffer = self.buffer or self.file.read(1 << 16), b""
+        return out
+
     def records(self, end: int) -> Iterator[tuple[int, io.BufferedIOBase]]:
         if not self.packed:
             while self.at < end:
@@ -72,15 +113,21 @@ class _Members:
                 if not self.buffer:
                     return
             offset = self.file.tell() - len(self.buffer)
-            engine, out = zlib.decompressobj(31), []
-            while not engine.eof:
-                if not self.buffer:
-                    self.buffer = self.file.read(1 << 16)
-                    if not self.buffer:
-                        break
-                out.append(engine.decompress(self.buffer))
-                self.buffer = engine.unused_data
-            yield offset, io.BytesIO(b"".join(out))
+            stream = io.BufferedReader(_Inflated(self), 1 << 16)
+            yield offset, stream
+            _skip(stream, None)
+
+
+def _skip(stream, size: int | None) -> None:
+    """Pass over some bytes, or all that are left."""
+    if size is not None and isinstance(stream, io.BufferedReader) and stream.seekable():
+        stream.seek(size, 1)
+        return
+    while size is None or size > 0:
+        got = len(stream.read(1 << 18 if size is None else min(size, 1 << 18)))
+        if not got:
+            return
+        size = None if size is None else size - got
 
 
 def _lines(stream) -> Iterator[bytes]:
@@ -103,6 +150,11 @@ def _fields(stream) -> list[tuple[str, str]]:
     return out
 
 
+def _record_fields(stream) -> dict[str, str]:
+    """Record headers by name; the first value of a name counts."""
+    return {_NAMES.get(n.lower(), n): v for n, v in reversed(_fields(stream))}
+
+
 def split_http(block: bytes) -> tuple[str | None, list[tuple[str, str]] | None, bytes]:
     """(status line, headers, payload) of a block; only a block that starts with HTTP is split."""
     if not block.startswith(b"HTTP/"):
@@ -122,7 +174,7 @@ def _read_record(stream, wanted: set[str], payload: bool, limit: int):
         return None
     line = first.decode("utf-8", "replace").strip()
     if line.startswith("WARC/"):
-        headers = dict(reversed(_fields(stream)))
+        headers = _record_fields(stream)
         kind, size, version = headers.get("WARC-Type"), int(headers.get("Content-Length", 0)), line
     else:  # ARC: url, address, date, type, [..], length
         parts = line.split(" ")
@@ -133,13 +185,14 @@ def _read_record(stream, wanted: set[str], payload: bool, limit: int):
         headers = {"WARC-Type": kind, "WARC-Target-URI": parts[0], "WARC-IP-Address": parts[1], "WARC-Date": parts[2], "Content-Type": parts[3], "Content-Length": parts[-1]}
     keep = not wanted or kind in wanted
     if keep and payload:
-        block = stream.read(size)
-        if len(block) < size:
+        block = stream.read(min(size, limit + _HEAD))
+        if len(block) < min(size, limit + _HEAD):
             raise EOFError(f"record cut at {len(block)} of {size} bytes")
+        _skip(stream, size - len(block))
     else:
-        head = stream.read(min(size, 1 << 16)) if keep else b""
+        head = stream.read(min(size, _HEAD)) if keep else b""
         block = head[: head.find(b"\r\n\r\n") + 4] if keep and head.startswith(b"HTTP/") else b""
-        stream.seek(size - len(head), 1)
+        _skip(stream, size - len(head))
     return version, kind, headers, block, keep, limit
 
 
@@ -164,6 +217,8 @@ def read_archive(path: str, start: int = 0, end: int | None = None, payload: boo
                     continue
                 return
             version, kind, headers, block, keep, _ = found
+            if members.packed:
+                _skip(stream, None)  # to the member's end
             after = (stream.tell() if not members.packed else file.tell() - len(members.buffer)) - offset
             if keep:
                 status, http, body = split_http(block)
@@ -187,20 +242,22 @@ def _files(path: str, pattern: str | None) -> list[str]:
 
 
 def _record_starts(path: str, step: int) -> list[int]:
-    """Offsets at or after each multiple of ``step`` where a record of a plain WARC begins (its length is checked)."""
+    """Offsets of the first record of a plain WARC at or after each multiple of ``step``; records are walked by their lengths, payloads passed over."""
     size, starts = os.path.getsize(path), [0]
     with open(path, "rb") as file:
         if file.read(5) != b"WARC/" or size <= step:
             return starts
-        for at in range(step, size, step):
-            file.seek(at)
-            window = file.read(1 << 20)
-            for m in re.finditer(rb"\r\n\r\nWARC/1\.[01]\r\n", window):
-                head = window[m.end() : m.end() + 4096]
-                if b"WARC-Record-ID:" in head and b"Content-Length:" in head:
-                    starts.append(at + m.start() + 4)
+        wanted = step
+        for offset, stream in _Members(file).records(size):
+            if offset >= wanted:
+                starts.append(offset)
+                wanted = (offset // step + 1) * step
+            try:
+                if not _read_record(stream, {""}, False, 0):
                     break
-    return sorted(set(starts))
+            except Exception:  # noqa: BLE001 - the last part reads on from here and reports it
+                break
+    return starts
 
 
 class WarcReader(DataSourceReader):
@@ -226,24 +283,31 @@ class WarcReader(DataSourceReader):
         yield from read_archive(partition.path, partition.start, partition.end, self.options.get("includepayload", "true") != "false", int(self.options.get("maxpayloadbytes", 1 << 28)), self.wanted)
 
 
-class WarcStreamReader(SimpleDataSourceStreamReader):
-    """New files of a landing folder; the offset is the last name taken (names must sort by arrival)."""
+class WarcStreamReader(DataSourceStreamReader):
+    """New files of a landing folder, in the order of their time; each file is a partition. The offset is the time and path of the last file taken."""
 
     def __init__(self, options):
         self.options = options
+        self.taken = (0, "")
+
+    def _files(self) -> list[tuple[int, str]]:
+        return sorted((os.stat(f).st_mtime_ns, f) for f in _files(self.options["path"], self.options.get("pathglobfilter")))
 
     def initialOffset(self):
-        return {"after": ""}
+        return {"time": 0, "path": ""}
 
-    def _new(self, after: str, to: str | None = None) -> list[str]:
-        return [f for f in _files(self.options["path"], self.options.get("pathglobfilter")) if f > after and (to is None or f <= to)]
+    def latestOffset(self, *_):
+        new = [f for f in self._files() if f > self.taken][: int(self.options.get("maxfilespertrigger", 1000))]
+        self.taken = new[-1] if new else self.taken
+        return {"time": self.taken[0], "path": self.taken[1]}
 
-    def read(self, start):
-        files = self._new(start["after"])[: int(self.options.get("maxfilespertrigger", 100))]
-        return iter([row for f in files for row in read_archive(f)]), {"after": files[-1] if files else start["after"]}
+    def partitions(self, start, end):
+        first, last = (start["time"], start["path"]), (end["time"], end["path"])
+        self.taken = max(self.taken, last)
+        return [_Part(path, 0, None) for at, path in self._files() if first < (at, path) <= last]
 
-    def readBetweenOffsets(self, start, end):
-        return iter([row for f in self._new(start["after"], end["after"]) for row in read_archive(f)])
+    def read(self, partition):
+        yield from read_archive(partition.path, payload=self.options.get("includepayload", "true") != "false", limit=int(self.options.get("maxpayloadbytes", 1 << 28)))
 
 
 class WarcSource(DataSource):
@@ -257,7 +321,7 @@ class WarcSource(DataSource):
     def reader(self, schema):
         return WarcReader({k.lower(): v for k, v in self.options.items()})
 
-    def simpleStreamReader(self, schema):
+    def streamReader(self, schema):
         return WarcStreamReader({k.lower(): v for k, v in self.options.items()})
 
 
@@ -267,6 +331,37 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(WarcSource)
 
 
+def load_archives(spark: SparkSession, path: str, include_payload: bool = True, max_payload_bytes: int = 1 << 28, record_types: tuple[str, ...] = (), glob: str | None = None) -> DataFrame:
+    """Records of the archives below ``path`` on any file system, one file at a time per task."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = (reader.option("pathGlobFilter", glob) if glob else reader).load(path).select("path", "content")
+    wanted = set(record_types)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for path_, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                rows = []
+                for row in read_archive(re.sub(r"^file:(//)?", "", path_), payload=include_payload, limit=max_payload_bytes, wanted=wanted, data=data.as_buffer().to_pybytes()):
+                    rows.append(row)
+                    if len(rows) == 500:
+                        yield _batch(pa, rows)
+                        rows = []
+                if rows:
+                    yield _batch(pa, rows)
+
+    return files.mapInArrow(run, SCHEMA)
+
+
+def _batch(pa, rows: list[tuple]):
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    kind = to_arrow_schema(SCHEMA)
+    columns = [pa.array([list(v.items()) if isinstance(v, dict) else [{"name": n, "value": x} for n, x in v] if f.name == "http_headers" and v is not None else v for v in column], type=f.type) for column, f in zip(zip(*rows), kind)]
+    return pa.RecordBatch.from_arrays(columns, names=SCHEMA.names)
+
+
 def nested_archives(df: DataFrame, key: str, payload: str) -> DataFrame:
     """Records of archives that are themselves payloads: (key, and the source's columns)."""
     schema = T.StructType([T.StructField("outer_key", df.schema[key].dataType), *SCHEMA.fields])

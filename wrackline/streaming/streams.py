@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -43,11 +43,15 @@ def revisits_with_response(revisits: DataFrame, responses: DataFrame, time: str,
     return left.join(right, near, "leftOuter").select("v.*", F.col("r.url").alias("response_url"), F.col(f"r.{time}").alias("response_time"))
 
 
-def first_response_state(df: DataFrame, timeout_ms: int = 86_400_000) -> DataFrame:
+def first_response_state(df: DataFrame, time: str, late: str = "1 day", wait_ms: int = 86_400_000, salts: int = 16) -> DataFrame:
     """(digest, url, record_type, response_url): revisits resolved by kept state of each digest's first response.
 
-    The state of a digest is one URL; revisits that come first are held (as
-    their URLs) until a response comes or the timeout passes.
+    ``df`` has digest, url, record_type and an event time. The state of a digest
+    is one URL; revisits that come first are held (as their URLs) until a
+    response comes, or come out as they are when the watermark passes their time
+    by ``wait_ms``. A digest's revisits are spread over ``salts`` states, each of
+    which gets every response, so that a hot digest is not one task's work; the
+    response itself comes out once.
     """
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -57,21 +61,27 @@ def first_response_state(df: DataFrame, timeout_ms: int = 86_400_000) -> DataFra
             state.remove()
             yield pd.DataFrame({"digest": [key[0]] * len(waiting), "url": waiting, "record_type": ["revisit"] * len(waiting), "response_url": [None] * len(waiting)})
             return
+        last = 0
         for frame in frames:
-            for url, kind in zip(frame["url"], frame["record_type"]):
+            for url, kind, stamp in zip(frame["url"], frame["record_type"], frame[time]):
+                last = max(last, int(stamp.timestamp() * 1000))
                 if kind == "response":
                     known = known or url
-                    out.append((url, kind, None))
+                    if key[1] == 0:
+                        out.append((url, kind, None))
                 else:
                     waiting.append(url)
         if known:
             out += [(u, "reduplicated", known) for u in waiting]
             waiting = []
         state.update((known, waiting))
-        state.setTimeoutDuration(timeout_ms)
+        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + wait_ms)
         yield pd.DataFrame([(key[0], *row) for row in out], columns=["digest", "url", "record_type", "response_url"])
 
-    return df.groupBy("digest").applyInPandasWithState(step, "digest string, url string, record_type string, response_url string", "known string, waiting array<string>", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    numbers = F.sequence(F.lit(0), F.lit(salts - 1))
+    own = F.array(F.pmod(F.xxhash64("url"), F.lit(salts)).cast("int"))
+    salted = df.withWatermark(time, late).withColumn("_salt", F.explode(F.when(F.col("record_type") == "response", numbers).otherwise(own)))
+    return salted.groupBy("digest", "_salt").applyInPandasWithState(step, "digest string, url string, record_type string, response_url string", "known string, waiting array<string>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def with_reloaded_exclusions(df: DataFrame, load: Callable[[], DataFrame], exclude: Callable[[DataFrame, DataFrame], DataFrame], write: Callable[[DataFrame, int], None], checkpoint: str):
@@ -87,11 +97,22 @@ def run_to_memory(df: DataFrame, name: str, mode: str = "append", seconds: int =
     """Run a stream over what is there and give its result as a table (for tests and small results)."""
     query = df.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
     try:
-        query.awaitTermination(seconds)
+        if not query.awaitTermination(seconds):
+            raise TimeoutError(f"the stream {name} did not end in {seconds} s; its result is not whole")
     finally:
         query.stop()
     return df.sparkSession.table(name)
 
 
-def event_kind(column: Column) -> Column:
-    return F.coalesce(column, F.lit("unknown"))
+def run_to_folder(df: DataFrame, folder: str, mode: str = "append") -> DataFrame:
+    """Run a stream over what is there and give its result, written to ``folder/out`` with its progress in ``folder/progress``.
+
+    ``complete`` writes the whole result of each micro-batch over the last one.
+    """
+    spark, out = df.sparkSession, f"{folder}/out"
+    if mode == "append":
+        writer = df.writeStream.format("parquet").option("path", out)
+    else:
+        writer = df.writeStream.outputMode(mode).foreachBatch(lambda rows, number: rows.write.mode("overwrite").parquet(out))
+    writer.option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(df.schema).parquet(out)
