@@ -258,8 +258,80 @@ def test_truncated(spark, monkeypatch):
 # --- queries -------------------------------------------------------------------------------
 
 
+def test_llm_queries_with_sql(spark, data):
+    import duckdb
+
+    from wrackline.llm import queries
+
+    con = duckdb.connect()
+    for name in ("mementos", "pack_sizes"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{data}/{name}.parquet'")
+    for name in ("p4_found", "p4_clean", "p9_checks"):
+        df = queries.QUERIES[name](spark, data)
+        names = sorted(df.columns)
+        assert sorted((tuple(r) for r in df.select(names).collect()), key=repr) == sorted(con.execute(f"SELECT {', '.join(names)} FROM ({queries.SQL[name]})").fetchall(), key=repr), name
+
+
 def test_llm_queries_run(spark, data):
+    """Every query gives rows; those of all rows give one each."""
     from wrackline.llm import queries
 
-    for name in ("p1_found", "p2_found", "p3_found", "p5_found", "p7_found", "p8_ids", "p9_summary", "p10_found"):
-        assert queries.QUERIES[name](spark, data).count() >= 0
+    documents = spark.read.parquet(f"{data}/documents.parquet").count()
+    for name in ("p1_found", "p2_found", "p3_found", "p5_found", "p7_found", "p10_found"):
+        found = queries.QUERIES[name](spark, data)
+        assert found.count() == found.distinct().count() > 0
+    for name in ("p8_ids", "p10_levels"):
+        assert queries.QUERIES[name](spark, data).count() == documents
+    assert queries.QUERIES["p2_dom_body"](spark, data).count() == spark.read.parquet(f"{data}/warc_records.parquet").count()
+
+
+# --- trees ------------------------------------------------------------------------------
+
+
+def _html(i, extra=""):
+    menu = "".join(f"<li><a href='/{w}'>{w}</a></li>" for w in ("Home", "News", "About"))
+    return f"<html><head><title>t</title><script>x</script></head><body><div><ul>{menu}</ul></div><div><h1>Story {i}</h1><p>Text <b>{i}</b> of the day.</p>{extra}<p>More in {i * 7}.</p></div><div>Imprint<br>All rights</div></body></html>"
+
+
+def test_dom_template_of_one_host(spark):
+    """Constant nodes of one host's trees are boilerplate, varying slots are the body; nulls, repeats and small hosts."""
+    rows_ = [(i, "h.test", f"u{i}", _html(i, "<p>Note</p>" if i == 3 else "")) for i in range(12)] + [(11, "h.test", "u11", _html(11)), (20, "s.test", "u", _html(20)), (21, "h.test", "x", None), (22, None, None, _html(22)), (23, "h.test", "y", "")]
+    df = spark.createDataFrame(rows_, "id bigint, host string, url string, page string").withColumn("h", F.lit("clash"))
+    from wrackline.llm import dom
+
+    got = [(r["id"], r["aligned"], r["body"]) for r in dom.page_bodies(df, "id", "host", "url", "page").collect()]
+    assert len(got) == len(rows_)
+    for k, aligned, text in got:
+        if k < 12:
+            assert aligned and text == f"Story {k}\nText {k} of the day.\n" + ("Note\n" if k == 3 else "") + f"More in {k * 7}."
+    rest = {k: (aligned, text) for k, aligned, text in got if k >= 20}
+    assert rest[21][1] is None and rest[23][1] is None and not rest[20][0] and rest[20][1].startswith("Home\nNews\nAbout\nStory 20")
+    assert dom.page_bodies(df.limit(0), "id", "host", "url", "page").count() == 0
+
+
+def test_tree_matching_equals_brute_force():
+    """The alignment has the greatest number of equal texts of all order-preserving ones."""
+    from wrackline.llm import dom
+
+    def best(a, b):
+        if a.tag != b.tag or a.text != b.text:
+            return -1
+        if a.text is not None:
+            return 1
+
+        def go(i, j):
+            if i == len(a.children) or j == len(b.children):
+                return 0
+            w = best(a.children[i], b.children[j])
+            return max(go(i + 1, j), go(i, j + 1), w + go(i + 1, j + 1) if w >= 0 else 0)
+
+        return go(0, 0)
+
+    rng = random.Random(4)
+
+    def tree(depth=0):
+        return "".join(rng.choice(["x", "y", "z"]) + "<br>" if depth == 2 or rng.random() < 0.5 else f"<{(t := rng.choice(['p', 'ul']))}>{tree(depth + 1)}</{t}>" for _ in range(rng.randint(1, 3)))
+
+    for _ in range(60):
+        a, b = dom.parse(tree()), dom.parse(tree())
+        assert len(dom.matched(a, b)[1]) == best(a, b)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wrackline.llm import boilerplate, bpe, garbled, langid, lines, pack, reading, segments, spam, truncated
-from wrackline.session import table
+from wrackline.functions import html
+from wrackline.llm import boilerplate, bpe, dom, garbled, langid, lines, pack, reading, segments, spam, truncated
+from wrackline.session import staged, table
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +72,24 @@ def p2_body(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boilerplate.bodies(pages, "id_long", boilerplate.wrapper_for(pages, garbled.learn(pages, ["content", "title"])))
 
 
+def p2_dom_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The body of every raw HTML response by alignment of its DOM tree with its host's template."""
+    rows = table(spark, sf_dir, "warc_records").join(table(spark, sf_dir, "mementos").select("id_long", "host", "url"), "id_long", "left")
+    pages = rows.withColumn("page", html.decode_page(F.col("payload"), html.charset_of(F.col("payload"), F.lit(None).cast("string"))))
+    return dom.page_bodies(pages, "id_long", "host", "url", "page")
+
+
+def p9_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of the packing per capacity, all to be 0: containers over capacity, documents missing, texts split without need."""
+    packed = staged(p9_pack(spark, sf_dir), "packed")
+    sizes = table(spark, sf_dir, "pack_sizes").select("pack_id", "capacity")
+    over = packed.groupBy("pack_id", "container").agg(F.sum("n_tokens").alias("used")).join(F.broadcast(sizes), "pack_id").groupBy("pack_id").agg(F.count_if(F.col("used") > F.col("capacity")).alias("over"))
+    texts = packed.groupBy("pack_id", "doc_id").agg(F.count(F.lit(1)).alias("pieces"), F.sum("n_tokens").alias("tokens")).join(F.broadcast(sizes), "pack_id")
+    needless = texts.groupBy("pack_id").agg(F.count_if(F.col("pieces") != F.greatest(F.ceil(F.col("tokens") / F.col("capacity")), F.lit(1))).alias("needless"), F.count(F.lit(1)).alias("n_docs"))
+    total = table(spark, sf_dir, "documents").agg(F.count(F.lit(1)).alias("n")).scalar()
+    return over.join(needless, "pack_id").select("pack_id", "over", "needless", (total - F.col("n_docs")).alias("missing"))
+
+
 def p3_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Garbled values of content and title with their restored text."""
     return garbled.restore(table(spark, sf_dir, "mementos"), "id_long", ["content", "title"])
@@ -131,8 +150,13 @@ _P4_LINES = """
     f AS (SELECT id_long, domain, url, CAST(line_no AS INT) AS line_no, trim(regexp_replace(lower(line), '[^\\p{L}\\p{M}]+', ' ', 'g')) AS form FROM l),
     k AS (SELECT domain, form FROM f WHERE form <> '' GROUP BY domain, form HAVING count(DISTINCT url) >= 5)"""
 
-QUERIES = {"p8_ids": p8_ids, "p9_pack": p9_pack, "p9_summary": p9_summary, "p4_found": p4_found, "p4_clean": p4_clean, "p1_found": p1_found, "p1_segments": p1_segments, "p1_pages": p1_pages, "p2_found": p2_found, "p2_body": p2_body, "p3_found": p3_found, "p3_restored": p3_restored, "p5_found": p5_found, "p5_judged": p5_judged, "p5_rates": p5_rates, "p7_found": p7_found, "p7_pages": p7_pages, "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile}
+QUERIES = {"p8_ids": p8_ids, "p9_pack": p9_pack, "p9_summary": p9_summary, "p9_checks": p9_checks, "p4_found": p4_found, "p4_clean": p4_clean, "p1_found": p1_found, "p1_segments": p1_segments, "p1_pages": p1_pages, "p2_found": p2_found, "p2_body": p2_body, "p2_dom_body": p2_dom_body, "p3_found": p3_found, "p3_restored": p3_restored, "p5_found": p5_found, "p5_judged": p5_judged, "p5_rates": p5_rates, "p7_found": p7_found, "p7_pages": p7_pages, "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile}
 
 SQL: dict[str, str] = {
     "p4_found": _P4_LINES + " SELECT id_long, line_no FROM f JOIN k USING (domain, form)",
+    "p4_clean": _P4_LINES
+    + """, cut AS (SELECT DISTINCT id_long, line_no FROM f JOIN k USING (domain, form)),
+        kept AS (SELECT id_long, string_agg(line, chr(10) ORDER BY l.line_no) AS content_clean FROM l LEFT JOIN cut USING (id_long, line_no) WHERE cut.line_no IS NULL GROUP BY id_long)
+        SELECT m.id_long, CASE WHEN m.id_long IN (SELECT id_long FROM cut) THEN coalesce(content_clean, '') ELSE content END AS content_clean FROM mementos m LEFT JOIN kept USING (id_long)""",
+    "p9_checks": "SELECT pack_id, CAST(0 AS BIGINT) AS over, CAST(0 AS BIGINT) AS needless, CAST(0 AS BIGINT) AS missing FROM pack_sizes WHERE pack_id IS NOT NULL",
 }
