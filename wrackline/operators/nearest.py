@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wrackline.functions import text
 
@@ -56,18 +62,50 @@ def profiles(samples: DataFrame, lang: str = "lang", sample: str = "text") -> Da
     return counted.join(totals, "lang").select("lang", "gram", (F.col("n") / F.col("total")).alias("share"))
 
 
-def nearest_profile(df: DataFrame, key: str, column: str, known: DataFrame, certain: float = 0.022) -> DataFrame:
-    """(key, lang, distance, certain): the language whose trigram profile is nearest (Euclid); texts without letters give no row.
+def nearest_profile(df: DataFrame, key: str, column: str, known: DataFrame, certain: float = 0.022, max_rows: int = 2_000_000) -> DataFrame:
+    """(key, lang, distance, certain): the language whose trigram profile is nearest (Euclid), the first on ties; texts without letters give no row.
 
-    |d - p|^2 = |d|^2 + |p|^2 - 2 d.p, so only trigrams that text and profile
-    share are joined; the profiles are bounded by languages x trigrams.
+    The profiles (languages x trigrams of a small table of samples; more than
+    ``max_rows`` rows are an error) are broadcast as one matrix, and each text is
+    counted and compared within its task, without a shuffle.
     """
-    grams = df.where(F.col(column).isNotNull()).select(key, F.explode(text.letter_trigrams(F.col(column))).alias("gram")).where("gram RLIKE '\\\\p{L}'")
-    counted = grams.groupBy(key, "gram").agg(F.count(F.lit(1)).alias("n"))
-    sized = counted.groupBy(key).agg(F.sum("n").alias("total"), F.sum(F.col("n") * F.col("n")).alias("squares"))
-    own = known.groupBy("lang").agg(F.sum(F.col("share") * F.col("share")).alias("norm"))
-    dots = counted.join(known, "gram").groupBy(key, "lang").agg(F.sum(F.col("n") * F.col("share")).alias("dot"))
-    scored = dots.join(sized, key).join(F.broadcast(own), "lang")
-    distance = F.sqrt(F.greatest(F.lit(0.0), F.col("squares") / (F.col("total") * F.col("total")) + F.col("norm") - 2 * F.col("dot") / F.col("total")))
-    best = scored.withColumn("distance", distance).groupBy(key).agg(F.min(F.struct("distance", "lang")).alias("_b"))
-    return best.select(key, "_b.lang", "_b.distance", (F.col("_b.distance") < certain).alias("certain"))
+    rows = known.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"profiles of more than {max_rows} rows")
+    langs = sorted({r["lang"] for r in rows})
+    grams = sorted({r["gram"] for r in rows if len(r["gram"]) == 3})
+    codes = np.array([_gram_code(g) for g in grams], dtype=np.uint64)
+    order = np.argsort(codes)
+    at = {grams[k]: i for i, k in enumerate(order.tolist())}
+    matrix = np.zeros((len(grams) + 1, len(langs)))
+    for r in rows:
+        if r["gram"] in at:
+            matrix[at[r["gram"]], langs.index(r["lang"])] = r["share"]
+    shared = df.sparkSession.sparkContext.broadcast((codes[order], matrix, langs))
+    schema = T.StructType([T.StructField(key, df.schema[key].dataType), *T.StructType.fromDDL("lang STRING, distance DOUBLE, certain BOOLEAN").fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, matrix, langs = shared.value
+        norm = (matrix * matrix).sum(axis=0)
+        for batch in batches:
+            spaced = pc.replace_substring_regex(pc.utf8_lower(batch.column(1)), r"[^\pL]+", "_").to_pylist()
+            rows, best, far = [], [], []
+            for k, text_ in enumerate(spaced):
+                body = text_.strip("_")
+                if not body or not langs:
+                    continue
+                c = np.frombuffer(f"_{body}_".encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+                found, n = np.unique(c[:-2] << np.uint64(42) | c[1:-1] << np.uint64(21) | c[2:], return_counts=True)
+                where = np.minimum(np.searchsorted(codes, found), max(0, len(codes) - 1))
+                where = np.where(codes[where] == found, where, len(codes)) if len(codes) else np.zeros(len(found), dtype=int)
+                total = n.sum()
+                distance = np.sqrt(np.maximum(0.0, (n * n).sum() / (total * total) + norm - 2 * (n @ matrix[where]) / total))
+                rows.append(k), best.append(langs[int(distance.argmin())]), far.append(float(distance.min()))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, type=pa.int64())), pa.array(best, type=pa.string()), pa.array(far, type=pa.float64()), pa.array([d < certain for d in far], type=pa.bool_())], names=schema.names)
+
+    return df.where(F.col(column).isNotNull()).select(F.col(key), F.col(column).cast("string").alias("_text")).mapInArrow(run, schema)
+
+
+def _gram_code(gram: str) -> int:
+    a, b, c = map(ord, gram)
+    return a << 42 | b << 21 | c
