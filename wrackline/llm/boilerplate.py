@@ -168,8 +168,8 @@ def host_key(host: str, url: str):
 def induce(df: DataFrame, url: str, host: str, domain: str, text: str, title: str) -> tuple[dict[str, float], DataFrame]:
     """(wrapper: item -> share of its occurrences that head a list of links; (h, own) with the template of each host)."""
     found, n_pages = page_nodes(df, url, host, domain, text, title)
-    per_url = found.groupBy("h", "d", "item", "u").agg(F.max("heads").alias("heads"))
-    per_host = per_url.groupBy("h", "d", "item").agg(F.count(F.lit(1)).alias("n"), F.sum("heads").alias("heads"))
+    per_url = found.groupBy("h", "item", "u").agg(F.max("heads").alias("heads"), F.min("d").alias("d"))
+    per_host = per_url.groupBy("h", "item").agg(F.count(F.lit(1)).alias("n"), F.sum("heads").alias("heads"), F.min("d").alias("d"))
     constant = staged(per_host.where(F.col("n") >= MIN_URLS).join(n_pages, "h").where(F.col("n") >= HOST_SHARE * F.col("n_pages")), "constant-nodes")
     wide = constant.groupBy("item").agg(F.count_distinct("d").alias("n_domains"), (F.sum("heads") / F.sum("n")).alias("share")).where(F.col("n_domains") >= MIN_DOMAINS).select("item", "share")
     wide = staged(wide, "wrapper")

@@ -437,7 +437,7 @@ def learn(df: DataFrame, texts: list[str]) -> Restorer:
     core = table.mapInArrow(trim, "kind STRING, unit STRING, n BIGINT").groupBy("kind", "unit").agg(F.sum("n").alias("n"))
     formed = core.mapInArrow(shape, "kind STRING, unit STRING, n BIGINT, form STRING").where(F.length(F.regexp_replace("form", "[^a-z]", "")) >= 3)
     clean = formed.groupBy("kind", "form").agg(F.max_by("unit", F.struct("n", "unit")).alias("clean"), F.max("n").alias("n_clean"))
-    twins = formed.join(clean, ["kind", "form"]).where((F.col("n") * MIN_RATIO <= F.col("n_clean")) & (F.col("unit") != F.col("clean")))
+    twins = staged(formed.join(clean, ["kind", "form"]).where((F.col("n") * MIN_RATIO <= F.col("n_clean")) & (F.col("unit") != F.col("clean"))).select("kind", "unit", "n", "clean"), "near-twins")
 
     def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

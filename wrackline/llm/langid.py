@@ -34,7 +34,7 @@ words_of = re.compile(r"[^\W\d_]+").findall
 
 def cut_words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     """(lower-case words of all texts, number of the text of each)."""
-    split = pc.split_pattern_regex(pc.utf8_lower(texts), r"[^\pL\p{Nl}\p{No}]+")
+    split = pc.split_pattern(pc.replace_substring_regex(pc.utf8_lower(texts), r"[^\pL\p{Nl}\p{No} ]+", " "), " ")
     words = split.flatten()
     full = pc.greater(pc.binary_length(words), 0)
     owner = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))
