@@ -174,3 +174,14 @@ def test_long_urls_keep_their_own_id(spark):
     out = documents.build_documents(spark.createDataFrame([(h, "HTTP/1.1 200 OK", [], b"") for h in heads], schema)).select("id", "url", "url_norm").collect()
     assert len({r["id"] for r in out}) == 3 and {len(r["url"]) for r in out[:2]} == {2000}
     assert out[2]["url"] == "http://a.test/foo.png%201080w" and out[2]["url_norm"] == "http://a.test/foo.png"
+
+
+def test_link_sets_equal_the_column_functions(spark):
+    from wrackline.functions import urls
+
+    links = ["http://a.co.uk/x", "http://B.co.uk:80/", "http://uk/", "http://1.2.3.4/", "http://a_b/", "nothing", "http://u@x.blogspot.co.uk/", "http://deep.sub.example.com/p", "http://deep.sub.example.com/q", "https://a.github.io"]
+    df = spark.createDataFrame([(links,), ([],), (None,)], "links array<string>")
+    hosts = F.array_distinct(F.transform("links", lambda u: urls.host(u)))
+    want = df.select(hosts, F.array_distinct(F.transform(hosts, lambda h: urls.private_suffix(h))), F.array_distinct(F.array_compact(F.transform(hosts, lambda h: urls.public_suffix(h)))), F.array_distinct(F.flatten(F.transform(hosts, urls.host_surts))))
+    got = df.select(urls.link_sets(F.col("links")).alias("s")).select("s.*")
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]

@@ -116,8 +116,7 @@ def build_documents(records: DataFrame, config: Config | None = None) -> DataFra
     docs = docs.withColumn("content_encoding", F.when(is_page, charset))
     docs = docs.withColumn("_page", html.html_features(F.when(is_page, html.decode_page(F.col("_decoded.payload"), F.col("content_encoding"))), F.col("url")))
     links = F.coalesce(F.col("_page.links"), F.array().cast("array<string>"))
-    docs = docs.withColumns({"links": links, "links_hosts": F.array_distinct(F.transform(links, lambda u: urls.host(u)))})
-    hosts = F.col("links_hosts")
+    docs = docs.withColumns({"links": links, "_sets": urls.link_sets(links, config.suffixes)})
     body = F.substring(F.col("_page.text"), 1, config.max_text_length)
     failures = F.concat_ws("; ", "parse_error", "_decoded.error", payload.digest_check(F.col("hash"), F.when(~revisit, payload.sha1_base32(F.col("warc_headers")["WARC-Payload-Digest"]))))
     docs = docs.withColumns(
@@ -135,9 +134,10 @@ def build_documents(records: DataFrame, config: Config | None = None) -> DataFra
             "elements_used": F.col("_page.elements"),
             "license_url": F.col("_page.licenses"),
             "links_images": F.col("_page.links_images"),
-            "links_domains": F.array_distinct(F.transform(hosts, lambda h: urls.private_suffix(h, config.suffixes))),
-            "links_public_suffixes": F.array_distinct(F.array_compact(F.transform(hosts, lambda h: urls.public_suffix(h, config.suffixes)))),
-            "links_hosts_surts": F.array_distinct(F.flatten(F.transform(hosts, urls.host_surts))),
+            "links_hosts": F.col("_sets.hosts"),
+            "links_domains": F.col("_sets.domains"),
+            "links_public_suffixes": F.col("_sets.suffixes"),
+            "links_hosts_surts": F.col("_sets.surts"),
             "postcode": text.postcodes(F.coalesce(body, F.lit(""))),
             "postcode_district": text.postcode_districts(F.coalesce(body, F.lit(""))),
             "content_metadata": F.transform(F.map_entries("_page.meta"), lambda e: F.concat(e["key"], F.lit("="), F.substring(e["value"], 1, 100))),
@@ -151,7 +151,7 @@ def build_documents(records: DataFrame, config: Config | None = None) -> DataFra
         docs = docs.withColumn(name, text.limit_values(F.col(name), most))
     if not config.store_text:
         docs = docs.withColumnRenamed("content", "text")
-    return docs.drop("_decoded", "_page", "_settled", "location", "payload")
+    return docs.drop("_decoded", "_page", "_sets", "_settled", "location", "payload")
 
 
 def as_json(documents: DataFrame, column: str = "json") -> DataFrame:
