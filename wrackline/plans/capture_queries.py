@@ -475,16 +475,16 @@ def record_envelopes(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     """WITH c AS (SELECT regexp_extract(original, '^[A-Za-z]+://([^/?#:]+)', 1) AS h, original AS url, CAST(wayback_date AS VARCHAR) AS w FROM cdx
-                  WHERE regexp_matches(regexp_extract(original, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1), '^/?$|^/index\\.[a-z]+$') AND original LIKE '%://%'),
+                  WHERE regexp_matches(regexp_extract(original, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1), '^/?$|^/index\\.[a-z]+$') AND original LIKE 'http%://%'),
              p AS (SELECT *, string_split(lower(h), '.') AS l, concat_ws('-', substr(w, 1, 4), substr(w, 5, 2), substr(w, 7, 2)) || 'T' || concat_ws(':', substr(w, 9, 2), substr(w, 11, 2), substr(w, 13, 2)) || 'Z' AS d FROM c),
              q AS (SELECT *, array_to_string(list_slice(l, CASE WHEN list_slice(l, -2, -1) IN (['co', 'example'], ['org', 'test']) THEN -3 ELSE -2 END, -1), '.') AS domain, w || '/' || base64(unhex(md5(url))) AS id, replace(replace(replace(url, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS u FROM p)
         SELECT '<record><header><identifier>' || id || '</identifier><datestamp>' || d || '</datestamp></header><metadata><oai_dc:dc><dc:title>' || domain || '</dc:title><dc:identifier>' || u || '</dc:identifier><dc:date>' || d
                || '</dc:date><dc:source>' || domain || '</dc:source></oai_dc:dc></metadata></record>' AS value FROM q"""
 )
 def oai_slash_pages(spark: SparkSession, d: str) -> DataFrame:
-    """Dublin Core records of the slash pages in the index."""
+    """Dublin Core records of the slash pages of http URLs in the index."""
     url, stamp = F.col("original"), F.col("wayback_date").cast("string")
-    rows = table(spark, d, "cdx").select(payload.capture_id(stamp, url).alias("id"), url.alias("url"), urls.url_type(url).alias("url_type"), urls.private_suffix(urls.host(url), TEST_SUFFIXES).alias("domain"), F.to_timestamp(stamp, "yyyyMMddHHmmss").alias("crawl_date"), F.lit(None).cast("string").alias("title"))
+    rows = table(spark, d, "cdx").where(filters.protocol_in(url, ["http"])).select(payload.capture_id(stamp, url).alias("id"), url.alias("url"), urls.url_type(url).alias("url_type"), urls.private_suffix(urls.host(url), TEST_SUFFIXES).alias("domain"), F.to_timestamp(stamp, "yyyyMMddHHmmss").alias("crawl_date"), F.lit(None).cast("string").alias("title"))
     return writers.oai_records(rows)
 
 
