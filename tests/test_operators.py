@@ -83,6 +83,18 @@ def test_reduplicate(spark):
     assert captures.reduplicate(df.limit(0)).count() == 0
 
 
+def test_reduplicate_copies_no_exemplars(spark):
+    """Exemplars are not multiplied into a broadcast; hot and other digests give the same records."""
+    maps = [{"digest": f"d{i}", "record-type": "response", "url": f"u{i}", "timestamp": "1", "length": str(i)} for i in range(50)]
+    maps += [{"digest": f"d{i % 7 if i < 60 else 3}", "record-type": "revisit", "url": f"v{i}"} for i in range(90)] + [{"digest": "x", "record-type": "revisit", "url": "w"}]
+    df = spark.createDataFrame([(m,) for m in maps], "mdx_map map<string,string>")
+    done = {share: captures.reduplicate(df, share=share) for share in (0.0, 0.2, 2.0)}
+    assert all("explode" not in d._jdf.queryExecution().toString() for d in done.values())
+    got = [sorted(sorted(r[0].items()) for r in d.collect()) for d in done.values()]
+    assert got[0] == got[1] == got[2] and len(got[0]) == len(maps)
+    assert sum(dict(m)["record-type"] == "reduplicated" and dict(m)["length"] == "3" for m in got[0]) == 30 + sum(i % 7 == 3 for i in range(60))
+
+
 def test_record_order(spark):
     df = spark.createDataFrame([("f", 0, 100, "response", "u", "h1"), ("f", 40, 100, "metadata", "u", None), ("f", 50, 100, "metadata", "u", None), ("f", 60, 100, "response", "v", "h2"), ("f", 70, 100, "metadata", "w", None)], "file string, offset long, size long, record_type string, url string, hash string")
     assert [r["compressed_length"] for r in captures.compressed_length(df, "file", "offset", "size").orderBy("offset").collect()] == [40, 10, 10, 10, 30]

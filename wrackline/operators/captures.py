@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wrackline.session import staged
+
 
 def compressed_length(df: DataFrame, file: str, offset: str, file_size: str, out: str = "compressed_length") -> DataFrame:
     """Distance to the next record of the file, of the last one to the file's end."""
@@ -34,25 +36,29 @@ def metadata_with_response(df: DataFrame, file: str, offset: str, record_type: s
     return kept.select(*[c for c in df.columns if c not in columns], *[F.col(f"_response.{c}").alias(f"response_{c}") for c in columns])
 
 
-def reduplicate(mdx: DataFrame, record: str = "mdx_map", salts: int = 64) -> DataFrame:
+def reduplicate(mdx: DataFrame, record: str = "mdx_map", share: float = 0.005) -> DataFrame:
     """Records with each revisit overlaid on the first response of its digest, its type ``reduplicated``.
 
     The exemplar of a digest is an algebraic minimum (partial before the
-    shuffle). Only digests with revisits and a response are joined; the join is
-    salted, so that a digest with a third of all revisits spreads over ``salts``
-    tasks at the cost of that many copies of its one exemplar.
+    shuffle), staged once for the digests with revisits. Digests with at least
+    ``share`` of all such revisits (at most ``1/share`` by pigeonhole) are
+    broadcast, and their revisits are spread; all others are joined by digest
+    with a shuffle, whatever their size.
     """
     entry = F.col(record)
     rows = mdx.select(entry, entry["digest"].alias("_digest"), F.coalesce(entry["record-type"], F.lit("")).alias("_type"))
     usable = F.col("_digest").isNotNull() & (F.col("_digest") != "")
-    responses = rows.where(usable & (F.col("_type") == "response"))
-    rank = F.struct(F.coalesce(entry["timestamp"], F.lit("~")), F.to_json(F.array_sort(F.map_entries(entry))))
-    exemplars = responses.groupBy(F.col("_digest").alias("_d")).agg(F.min_by(record, rank).alias("_exemplar"))
-    revisits = rows.where(usable & (F.col("_type") == "revisit"))
-    others = rows.where(~usable | (F.col("_type") != "revisit")).select(record)
-    salted = exemplars.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    keyed = revisits.withColumn("_s", F.pmod(F.xxhash64(F.to_json(F.array_sort(F.map_entries(entry)))), F.lit(salts)).cast("int"))
-    joined = keyed.join(salted, (keyed["_digest"] == salted["_d"]) & (keyed["_s"] == salted["_salt"]), "left")
+    response, revisit = usable & (F.col("_type") == "response"), usable & (F.col("_type") == "revisit")
+    rank = F.when(response, F.struct(F.coalesce(entry["timestamp"], F.lit("~")), F.to_json(F.array_sort(F.map_entries(entry)))))
+    found = rows.where(response | revisit).groupBy(F.col("_digest").alias("_d")).agg(F.min_by(record, rank).alias("_exemplar"), F.count_if(revisit).alias("_n"), F.count_if(response).alias("_m"))
+    exemplars = staged(found.where("_n > 0 AND _m > 0").drop("_m"), "exemplars")
+    least = (exemplars.agg(F.sum("_n")).first()[0] or 0) * share
+    hot = exemplars.where(F.col("_n") >= least).select(F.col("_d").alias("_h"), F.col("_exemplar").alias("_hot"))
+    rest = exemplars.where(F.col("_n") < least).drop("_n")
+    others = rows.where(~revisit).select(record)
+    spread = F.xxhash64(F.to_json(F.array_sort(F.map_entries(entry)))).cast("string")
+    keyed = rows.where(revisit).join(F.broadcast(hot), F.col("_digest") == F.col("_h"), "left").withColumn("_k", F.when(F.col("_h").isNull(), F.col("_digest")).otherwise(spread))
+    joined = keyed.join(rest.hint("merge"), F.col("_k") == F.col("_d"), "left").withColumn("_exemplar", F.coalesce("_hot", "_exemplar"))
     overlay = F.map_from_entries(
         F.concat(
             F.map_entries(F.map_filter("_exemplar", lambda k, _: ~F.map_contains_key(entry, k) & (k != "record-type"))),
