@@ -95,6 +95,23 @@ def test_reduplicate_copies_no_exemplars(spark):
     assert sum(dict(m)["record-type"] == "reduplicated" and dict(m)["length"] == "3" for m in got[0]) == 30 + sum(i % 7 == 3 for i in range(60))
 
 
+def test_reduplicated_maps_query(spark, data):
+    """Every record of mdx as plain Python overlays it, without copies of exemplars in the plan."""
+    import json
+
+    from wrackline.plans.capture_queries import QUERIES
+
+    df = QUERIES["reduplicated_maps"](spark, data)
+    assert "explode" not in df._jdf.queryExecution().toString()
+    maps, first = [r[0] for r in spark.read.parquet(f"{data}/mdx.parquet").collect()], {}
+    for m in sorted((m for m in maps if m.get("record-type") == "response" and m.get("digest")), key=lambda m: (m.get("timestamp", "~"), json.dumps(sorted(m.items())))):
+        first.setdefault(m["digest"], m)
+    want = [first[m["digest"]] | m | {"record-type": "reduplicated"} if m.get("record-type") == "revisit" and m.get("digest") in first else m for m in maps]
+    got = [json.loads(r[0]) for r in df.collect()]
+    order = lambda x: sorted(json.dumps(m, sort_keys=True) for m in x)
+    assert order(got) == order(want) and sum(m["record-type"] == "reduplicated" for m in got if "record-type" in m) > 0
+
+
 def test_record_order(spark):
     df = spark.createDataFrame([("f", 0, 100, "response", "u", "h1"), ("f", 40, 100, "metadata", "u", None), ("f", 50, 100, "metadata", "u", None), ("f", 60, 100, "response", "v", "h2"), ("f", 70, 100, "metadata", "w", None)], "file string, offset long, size long, record_type string, url string, hash string")
     assert [r["compressed_length"] for r in captures.compressed_length(df, "file", "offset", "size").orderBy("offset").collect()] == [40, 10, 10, 10, 30]
