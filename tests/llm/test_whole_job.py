@@ -125,3 +125,18 @@ def test_similarity_over_texts(spark, tmp_path):
     assert [(r["query"], r["doc_id"]) for r in got["similar_texts"]] == [(50, 51)]
     assert {r["doc_id"]: r["shingles"] for r in got["text_shingles"]}[54] == ["ab cd"]
     assert {r["doc_id"]: r["grams"] for r in got["text_ngrams"]}[54] == sorted({"ab cd"[i : i + n] for n in range(2, 6) for i in range(6 - n)})
+
+
+def test_ngrams_equal_sql_functions(spark, monkeypatch):
+    """The Arrow pass gives what Spark's functions give: wide and invalid characters, empty texts, alphabets that fit no integer."""
+    from wrackline.functions import text
+    from wrackline.operators import grams
+
+    texts = ["ab cd", "", "a", "été ñandú дом 日本語日本 😀é😀é", None, "aaaa\n\0\0b", "xy" * 40, "".join(chr(0x4E00 + 7 * k % 6000) for k in range(9000)), "plain words " * 30]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    df = df.unionByName(spark.sql("SELECT 20L AS doc_id, CAST(X'61C3A9FF80E6976281' AS STRING) AS text")).coalesce(1)
+    want = {r[0]: list(r[1]) for r in df.where("text IS NOT NULL").select("doc_id", F.transform(F.sort_array(F.array_distinct(text.char_ngrams(F.col("text")))), lambda g: F.hex(g))).collect()}
+    for chunk in (1, 60, 1 << 18):
+        monkeypatch.setattr(grams, "CHUNK", chunk)
+        got = {r[0]: list(r[1]) for r in grams.distinct_ngrams(df, "doc_id", "text").select("doc_id", F.transform("grams", lambda g: F.hex(g))).collect()}
+        assert got == want

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wrackline.functions import content_types, dates, payload, text, urls
-from wrackline.operators import annotate, captures, documents, filters, jobs, names, nearest, search
+from wrackline.operators import annotate, captures, documents, filters, grams, jobs, names, nearest, search
 from wrackline.session import new_folder, staged, table
 from wrackline.sinks import writers
 from wrackline.streaming import streams
@@ -436,7 +436,7 @@ def text_shingles(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def text_ngrams(spark: SparkSession, d: str) -> DataFrame:
     """Distinct substrings of two to five characters of the text of every document."""
-    return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.sort_array(F.array_distinct(text.char_ngrams(F.col("text")))).alias("grams"))
+    return grams.distinct_ngrams(table(spark, d, "documents"), "doc_id", "text")
 
 
 # --- payloads (C1-C21, X2-X8) ----------------------------------------------------------------------------
