@@ -140,3 +140,17 @@ def test_ngrams_equal_sql_functions(spark, monkeypatch):
         monkeypatch.setattr(grams, "CHUNK", chunk)
         got = {r[0]: list(r[1]) for r in grams.distinct_ngrams(df, "doc_id", "text").select("doc_id", F.transform("grams", lambda g: F.hex(g))).collect()}
         assert got == want
+
+
+def test_dom_template_counts_all_pages(spark):
+    """p2: a block on 33 of 60 urls is the host's template, one on 27 is not, whatever a few pages say."""
+    from wrackline.llm import dom
+
+    def page(i):
+        blocks = ("<div><p>Often here</p></div>" if i * 7 % 60 < 33 else "") + ("<div><p>Rarely here</p></div>" if i * 11 % 60 < 27 else "")
+        return f"<html><body><ul><li>Home</li></ul><div><h1>Story {i}</h1></div>{blocks}<div>Imprint</div></body></html>"
+
+    rows = [(60 * h + i, f"h{h}.test", f"u{i}", page(i)) for h in range(12) for i in range(60)]
+    df = spark.createDataFrame(rows, "id bigint, host string, url string, page string")
+    got = {r["id"]: (r["aligned"], r["body"]) for r in dom.page_bodies(df, "id", "host", "url", "page").collect()}
+    assert got == {k: (True, f"Story {k % 60}" + ("\nRarely here" if k % 60 * 11 % 60 < 27 else "")) for k in range(720)}

@@ -1,17 +1,21 @@
 """Main body of raw HTML pages by wrapper induction on their DOM trees.
 
-Method: of each host a few pages with distinct urls are chosen by a hash, in two
-steps, so that a hot host is never sorted by one task. The first one's DOM tree
-is aligned with each of the others by simple tree matching: the roots' tags must
-agree, and the children are aligned in their order so that the number of equal
-text nodes is greatest. Text nodes that agree with at least ``CONSTANT_SHARE`` of
-the other pages are constant; pruned to these and the elements above them, the
-tree is the host's template, all other places are slots. Every page of the host
-is then aligned with this template: text nodes that match it are boilerplate,
-those in slots are the body.
-
-A template is made of at most ``PAGES`` pages, whatever the size of the host, and
-joined with the pages by host (broadcast while small, hot hosts split by Spark).
+Method: of each host one page a url is taken, all of them. On how many urls each
+text node (its path of tags and its text) stands is counted; the page with most
+of the nodes that stand on at least ``CONSTANT_SHARE`` of the urls is the host's
+centre. Its DOM tree is aligned with each other page by simple tree matching:
+the roots' tags must agree, and the children are aligned in their order so that
+the number of equal text nodes is greatest. Text nodes of the centre that agree
+with at least ``CONSTANT_SHARE`` of all other pages are constant; pruned to these
+and the elements above them, its tree is the host's template, all other places
+are slots. Every page of the host is then aligned with this template: text nodes
+that match it are boilerplate, those in slots are the body. A constant node that
+the centre lacks is no part of the template.
+
+Counts and votes are summed over all pages, in parts; what a host gathers is
+bounded by a page: at most ``1/CONSTANT_SHARE`` times the mean number of nodes,
+and a vote for each node of the centre. Centres and templates are joined with
+the pages by host (broadcast while small, hot hosts split by Spark).
 
 Defined results: a null or empty page has a null body; pages of a host with
 fewer than two other distinct urls have no template and keep all their text
@@ -23,8 +27,10 @@ elements nested deeper than ``MAX_DEPTH``, and rows of children of more than
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import blake2b
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -32,11 +38,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wrackline.operators.jobs import sample_per_key
 from wrackline.session import staged
 
-#: Pages of a host that its template is induced from, and the share of the others that a constant node agrees with.
-PAGES, CONSTANT_SHARE = 6, 0.5
+#: Share of a host's other pages that a constant node agrees with.
+CONSTANT_SHARE = 0.5
 MAX_DEPTH, MAX_PAIRS = 200, 1_000_000
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -156,23 +161,41 @@ def _wholes(left: list[Node], right: list[Node]) -> tuple[float, list[Node]]:
     return len(out) + 0.001, out
 
 
-def template(pages: list[str]) -> str | None:
-    """The template of a host's pages as JSON; None for fewer than three pages."""
-    if len(pages) < 3:
-        return None
-    first, *others = [parse(p) for p in pages]
-    votes: dict[int, int] = {}
-    for other in others:
-        for node in matched(first, other)[1]:
-            votes[id(node)] = votes.get(id(node), 0) + 1
+def places(page: str) -> list[int]:
+    """A number for each different text node of a page, by its path of tags and its text."""
+    out, todo = set(), [(parse(page), "")]
+    while todo:
+        node, path = todo.pop()
+        if node.text is not None:
+            out.add(int.from_bytes(blake2b(f"{path}\n{node.text}".encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True))
+        todo += [(child, f"{path}/{node.tag}") for child in node.children]
+    return sorted(out)
+
+
+@lru_cache(maxsize=64)
+def read_centre(page: str) -> tuple[Node, dict[int, int]]:
+    """A page's tree, and the place of each of its text nodes among these."""
+    root = parse(page)
+    return root, {id(n): k for k, n in enumerate(root.texts())}
+
+
+def agreed(centre: str, page: str) -> list[int]:
+    """Places of the centre's text nodes that match a page."""
+    root, at = read_centre(centre)
+    return [at[id(n)] for n in matched(root, parse(page))[1]]
+
+
+def template(centre: str, votes: dict[int, int], others: int) -> str:
+    """The centre's tree as JSON, pruned to the text nodes that agree with enough of the other pages."""
+    root, at = read_centre(centre)
 
     def pruned(node: Node, depth: int = 0):
         if node.text is not None:
-            return [_TEXT, node.text] if votes.get(id(node), 0) >= CONSTANT_SHARE * len(others) else None
+            return [_TEXT, node.text] if votes.get(at[id(node)], 0) >= CONSTANT_SHARE * others else None
         kept = [c for c in (pruned(child, depth + 1) for child in node.children) if c] if depth < 2 * MAX_DEPTH else []
         return [node.tag, kept] if kept or not depth else None
 
-    return json.dumps(pruned(first), ensure_ascii=False)
+    return json.dumps(pruned(root), ensure_ascii=False)
 
 
 @lru_cache(maxsize=256)
@@ -207,20 +230,34 @@ def body(page: str, made: str | None) -> str:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(h, template) of each host; ``pages`` has h, u and page."""
-    one = pages.where("h IS NOT NULL AND u IS NOT NULL AND page <> ''").groupBy("h", "u").agg(F.min(F.xxhash64("page")).alias("p"))
-    chosen = sample_per_key(one, "h", "u", PAGES).withColumnsRenamed({"h": "_h", "u": "_u"})
-    picked = pages.join(chosen, (F.col("h") == F.col("_h")) & (F.col("u") == F.col("_u")) & (F.xxhash64("page") == F.col("p")))
-    grouped = picked.groupBy("h", "u").agg(F.min("page").alias("page")).groupBy("h").agg(F.transform(F.array_sort(F.collect_list(F.struct("u", "page"))), lambda x: x["page"]).alias("pages"))
+    """(h, template) of each host of at least three urls, by all of them; ``pages`` has h, u and page."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(batch.num_rows):
-                made = template(batch.column(1)[at].as_py())
-                if made:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 1), pa.array([made], type=pa.string())], names=["h", "template"])
+            found = pa.array([places(t) for t in batch.column(2).to_pylist()], type=pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=["h", "u", "page", "x"])
 
-    return grouped.mapInArrow(run, "h BIGINT, template STRING")
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            votes = Counter((h, k) for h, page, centre in zip(*(c.to_pylist() for c in batch.columns)) for k in agreed(centre, page))
+            yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in votes], type=pa.int64()), pa.array([k for _, k in votes], type=pa.int32()), pa.array(list(votes.values()), type=pa.int64())], names=["h", "k", "v"])
+
+    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [template(centre, {x["k"]: x["v"] for x in votes or []}, n - 1) for n, centre, votes in zip(*(c.to_pylist() for c in batch.columns[1:]))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, type=pa.string())], names=["h", "template"])
+
+    one = pages.where("h IS NOT NULL AND u IS NOT NULL AND page <> ''").groupBy("h", "u").agg(F.min("page").alias("page"))
+    urls = staged(one.mapInArrow(nodes, "h BIGINT, u BIGINT, page STRING, x ARRAY<BIGINT>"), "dom-pages")
+    hosts = urls.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n >= 3")
+    counted = urls.select("h", F.explode("x").alias("x")).groupBy("h", "x").agg(F.count(F.lit(1)).alias("c"))
+    constant = counted.join(hosts, "h").where(F.col("c") >= CONSTANT_SHARE * F.col("n")).groupBy("h").agg(F.collect_list("x").alias("constant"))
+    scored = urls.select("h", "u", "x").join(hosts, "h").join(constant, "h", "left").select("h", "n", "u", F.coalesce(F.size(F.array_intersect("x", "constant")), F.lit(0)).alias("s"))
+    best = scored.groupBy("h", "n").agg(F.max(F.struct("s", "u"))["u"].alias("u"))
+    centres = staged(urls.select("h", "u", "page").join(best, ["h", "u"]).select("h", "n", F.col("u").alias("at"), F.col("page").alias("centre")), "dom-centres")
+    votes = urls.select("h", "u", "page").join(centres, "h").where("u <> at").select("h", "page", "centre").mapInArrow(vote, "h BIGINT, k INT, v BIGINT")
+    summed = votes.groupBy("h", "k").agg(F.sum("v").alias("v")).groupBy("h").agg(F.collect_list(F.struct("k", "v")).alias("votes"))
+    return centres.join(summed, "h", "left").select("h", "n", "centre", "votes").mapInArrow(prune, "h BIGINT, template STRING")
 
 
 def page_bodies(df: DataFrame, key: str, host: str, url: str, page: str) -> DataFrame:
