@@ -112,6 +112,29 @@ def test_reduplicated_maps_query(spark, data):
     assert order(got) == order(want) and sum(m["record-type"] == "reduplicated" for m in got if "record-type" in m) > 0
 
 
+def test_reduplicate_shuffles_no_lone_responses(spark, monkeypatch):
+    """Responses without revisits stay out of the shuffle of exemplars; with few bits more come along, for the same records."""
+    seen, staged = [], captures.staged
+    monkeypatch.setattr(captures, "staged", lambda df, label: seen.append(df) or staged(df, label))
+    maps = [{"digest": f"d{i}", "record-type": "response", "url": f"u{i}", "timestamp": str(i % 3)} for i in range(3000)] + [{"digest": f"d{i * 97}", "record-type": "response", "url": f"w{i}", "timestamp": "1"} for i in range(30)]
+    maps += [{"digest": f"d{i * 97}", "record-type": "revisit", "filename": f"f{i}"} for i in range(40)]
+    df = spark.createDataFrame([(m,) for m in maps], "mdx_map map<string,string>")
+
+    def written(plan):
+        metric = plan.metrics().get("shuffleRecordsWritten") if plan.nodeName() == "Exchange" and "_digest#" in plan.outputPartitioning().toString() else None
+        under = [plan.plan()] if "QueryStage" in plan.nodeName() else [plan.executedPlan()] if "Adaptive" in plan.nodeName() else [plan.children().apply(i) for i in range(plan.children().size())]
+        return (metric.get().value() if metric else 0) + sum(map(written, under))
+
+    got = [sorted(sorted(r[0].items()) for r in captures.reduplicate(df).collect())]
+    seen[0].collect()
+    assert 0 < written(seen[0]._jdf.queryExecution().executedPlan()) < 1000
+    for bits in (8, 1):
+        monkeypatch.setattr(captures, "MARKS", bits)
+        got.append(sorted(sorted(r[0].items()) for r in captures.reduplicate(df).collect()))
+    assert got[0] == got[1] == got[2] and len(got[0]) == len(maps)
+    assert {dict(m)["filename"]: dict(m)["url"] for m in got[0] if dict(m)["record-type"] == "reduplicated"} == {f"f{i}": f"w{i}" if i < 30 and i * 97 % 3 == 2 else f"u{i * 97}" for i in range(31)}
+
+
 def test_record_order(spark):
     df = spark.createDataFrame([("f", 0, 100, "response", "u", "h1"), ("f", 40, 100, "metadata", "u", None), ("f", 50, 100, "metadata", "u", None), ("f", 60, 100, "response", "v", "h2"), ("f", 70, 100, "metadata", "w", None)], "file string, offset long, size long, record_type string, url string, hash string")
     assert [r["compressed_length"] for r in captures.compressed_length(df, "file", "offset", "size").orderBy("offset").collect()] == [40, 10, 10, 10, 30]

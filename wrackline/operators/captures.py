@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from wrackline.session import staged
 
+#: Bits of the bitmap of digests with revisits.
+MARKS = 1 << 26
+
 
 def compressed_length(df: DataFrame, file: str, offset: str, file_size: str, out: str = "compressed_length") -> DataFrame:
     """Distance to the next record of the file, of the last one to the file's end."""
@@ -40,17 +43,26 @@ def reduplicate(mdx: DataFrame, record: str = "mdx_map", share: float = 0.005) -
     """Records with each revisit overlaid on the first response of its digest, its type ``reduplicated``.
 
     The exemplar of a digest is an algebraic minimum (partial before the
-    shuffle), staged once for the digests with revisits. Digests with at least
-    ``share`` of all such revisits (at most ``1/share`` by pigeonhole) are
-    broadcast, and their revisits are spread; all others are joined by digest
-    with a shuffle, whatever their size.
+    shuffle), staged once for the digests with revisits. A bitmap of the
+    revisits' hashed digests (``MARKS`` bits, 8 MB broadcast whatever the data)
+    keeps most other responses out of that shuffle; those that share a bit by
+    chance are dropped after it. Digests with at least ``share`` of all such
+    revisits (at most ``1/share`` by pigeonhole) are broadcast, and their
+    revisits are spread; all others are joined by digest with a shuffle,
+    whatever their size.
     """
     entry = F.col(record)
     rows = mdx.select(entry, entry["digest"].alias("_digest"), F.coalesce(entry["record-type"], F.lit("")).alias("_type"))
     usable = F.col("_digest").isNotNull() & (F.col("_digest") != "")
     response, revisit = usable & (F.col("_type") == "response"), usable & (F.col("_type") == "revisit")
     rank = F.when(response, F.struct(F.coalesce(entry["timestamp"], F.lit("~")), F.to_json(F.array_sort(F.map_entries(entry)))))
-    found = rows.where(response | revisit).groupBy(F.col("_digest").alias("_d")).agg(F.min_by(record, rank).alias("_exemplar"), F.count_if(revisit).alias("_n"), F.count_if(response).alias("_m"))
+    bit = F.pmod(F.xxhash64("_digest"), F.lit(MARKS)) + 1
+    bucket, at = F.bitmap_bucket_number(bit), F.bitmap_bit_position(bit)
+    every = mdx.sparkSession.range(1, MARKS + 1, 1 << 15).toDF("_bit")  # one bit of each bucket
+    marks = rows.where(revisit).select(bit.alias("_bit")).union(every).groupBy(F.bitmap_bucket_number("_bit").alias("_b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("_bits"))
+    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
+    near = rows.where(response | revisit).join(F.broadcast(marks), bucket == F.col("_b"), "left").where(revisit | (F.getbit(byte, (at % 8).cast("int")) == 1))
+    found = near.groupBy(F.col("_digest").alias("_d")).agg(F.min_by(record, rank).alias("_exemplar"), F.count_if(revisit).alias("_n"), F.count_if(response).alias("_m"))
     exemplars = staged(found.where("_n > 0 AND _m > 0").drop("_m"), "exemplars")
     least = (exemplars.agg(F.sum("_n")).first()[0] or 0) * share
     hot = exemplars.where(F.col("_n") >= least).select(F.col("_d").alias("_h"), F.col("_exemplar").alias("_hot"))
